@@ -120,7 +120,7 @@ def typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dates_standardised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _standardised(spark, sf_dir).select(
-        "order_id", "src_seq", F.col("raw.order_date").alias("order_date_text"), "order_date"
+        "order_id", "src_seq", F.col("raw_order_date").alias("order_date_text"), "order_date"
     )
 
 
@@ -131,7 +131,7 @@ def nulls_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_standardised(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = title_case(F.col("raw.payment_method"), keep=["UPI"])
+    kept = title_case(F.col("raw_payment_method"), keep=["UPI"])
     return _standardised(spark, sf_dir).select(
         "order_id",
         "src_seq",

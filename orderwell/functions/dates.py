@@ -5,20 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The two shapes the feed uses, and how each is read.
-DAY_FIRST = (r"^\d{2}-\d{2}-\d{4}$", "dd-MM-yyyy")
-YEAR_FIRST = (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd")
+# The two shapes the feed uses.
+DAY_FIRST = r"^\d{2}-\d{2}-\d{4}$"
+YEAR_FIRST = r"^\d{4}-\d{2}-\d{2}$"
 
 
 def mixed_date(text: Column) -> Column:
     """Date from ``dd-MM-yyyy`` or ``yyyy-MM-dd`` text; null for anything else.
 
-    The shape decides the reading, so a two-digit start is always the day.
+    The shape decides the reading, so a two-digit start is always the day.  Both
+    shapes end up as ISO text for the plain date cast, which is several times
+    cheaper per row than parsing by pattern.
     """
-    parsed = F.lit(None).cast("date")
-    for shape, pattern in (DAY_FIRST, YEAR_FIRST):
-        parsed = F.when(F.rlike(text, F.lit(shape)), F.try_to_date(text, pattern)).otherwise(parsed)
-    return parsed
+    year, month, day = text.substr(7, 4), text.substr(4, 2), text.substr(1, 2)
+    turned = F.concat_ws("-", year, month, day)
+    return F.when(F.rlike(text, F.lit(YEAR_FIRST)), text.try_cast("date")).when(
+        F.rlike(text, F.lit(DAY_FIRST)), turned.try_cast("date")
+    )
 
 
 def date_key(date: Column) -> Column:

@@ -16,6 +16,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderwell.schema import DISCOUNT_PCT, ORDER_COLUMNS, raw_name
+
 CLEAN, RETURN, REJECTED = "clean", "return", "rejected"
 
 # An order line is unusable without these; unreadable counts as missing.
@@ -28,12 +30,8 @@ class Rule(NamedTuple):
     broken: Column
 
 
-def _raw(name: str) -> Column:
-    return F.col("raw")[name]
-
-
 def _missing(name: str) -> Column:
-    return F.coalesce(F.trim(_raw(name)), F.lit("")) == ""
+    return F.coalesce(F.trim(raw_name(name)), F.lit("")) == ""
 
 
 def _any_missing(columns: list[str]) -> Column:
@@ -41,7 +39,7 @@ def _any_missing(columns: list[str]) -> Column:
 
 
 def order_rules() -> list[Rule]:
-    """Rules over a standardised order row (typed columns beside ``raw``)."""
+    """Rules over a standardised order row (clean columns beside ``raw_*``)."""
     quantity, price = F.col("quantity"), F.col("unit_price")
     return [
         Rule("order_id_missing", "critical", F.col("order_id").isNull()),
@@ -61,7 +59,7 @@ def order_rules() -> list[Rule]:
         Rule(
             "discount_unreadable",
             "note",
-            ~_missing("discount_pct") & _raw("discount_pct").try_cast("decimal(5,2)").isNull(),
+            ~_missing("discount_pct") & F.col(raw_name("discount_pct")).try_cast(DISCOUNT_PCT).isNull(),
         ),
     ]
 
@@ -73,7 +71,8 @@ def broken(rules: list[Rule], strength: str) -> Column:
 
 
 def assess(standardised: DataFrame) -> DataFrame:
-    """Adds ``outcome`` (clean, return or rejected) and ``reasons``."""
+    """Adds ``outcome`` (clean, return or rejected) and ``reasons``; the text as
+    landed stays, under ``raw``, only beside a reason."""
     rules = order_rules()
     outcome = (
         F.when(broken(rules, "critical"), F.lit(REJECTED))
@@ -81,15 +80,24 @@ def assess(standardised: DataFrame) -> DataFrame:
         .when(broken(rules, "reject"), F.lit(REJECTED))
         .otherwise(F.lit(CLEAN))
     )
-    reasons = F.array_compact(F.array(*[F.when(r.broken, F.lit(r.reason)) for r in rules]))
-    return standardised.withColumns({"outcome": outcome, "reasons": reasons})
+    # array_except drops the nulls and, unlike array_compact, compiles.
+    reasons = F.array_except(
+        F.array(*[F.when(r.broken, F.lit(r.reason)) for r in rules]),
+        F.array(F.lit(None).cast("string")),
+    )
+    raw = F.struct(*[F.col(raw_name(c)).alias(c) for c in ORDER_COLUMNS])
+    return (
+        standardised.withColumns({"outcome": outcome, "reasons": reasons})
+        .withColumn("raw", F.when(F.size("reasons") > 0, raw))
+        .drop(*[raw_name(c) for c in ORDER_COLUMNS])
+    )
 
 
 def unreadable_dates(df: DataFrame) -> DataFrame:
     """The texts that could not be read as dates, and how many rows carry each."""
     return (
         df.filter(F.col("order_date").isNull())
-        .groupBy(_raw("order_date").alias("order_date_text"))
+        .groupBy(F.col("raw.order_date").alias("order_date_text"))
         .agg(F.count("*").alias("rows"))
     )
 

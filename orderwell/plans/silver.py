@@ -19,6 +19,7 @@ from orderwell.schema import (
     SILVER_COLUMNS,
     UNIT_PRICE,
     UNKNOWN_REGION,
+    raw_name,
 )
 
 
@@ -79,9 +80,9 @@ def derive(df: DataFrame) -> DataFrame:
 
 
 def standardise(df: DataFrame, keep_payment: Sequence[str] = ()) -> DataFrame:
-    """All row-wise clean-up in one projection; the text stays under ``raw``."""
+    """All row-wise clean-up; the text as landed stays in ``raw_*`` columns."""
     return (
-        df.withColumn("raw", F.struct(*ORDER_COLUMNS))
+        df.withColumns({raw_name(c): F.col(c) for c in ORDER_COLUMNS})
         .transform(type_columns)
         .transform(standardise_text, keep_payment)
         .transform(fill_missing)
@@ -89,33 +90,26 @@ def standardise(df: DataFrame, keep_payment: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def identify(bronze: DataFrame) -> DataFrame:
-    """Blank order numbers become null, so that they are not taken for copies."""
-    return bronze.withColumn("order_id", blank_to_null(F.col("order_id")))
+def judged_rows(bronze: DataFrame, keep_payment: Sequence[str] = ()) -> DataFrame:
+    """Every landed row, standardised and judged; nothing is dropped yet."""
+    return bronze.transform(standardise, keep_payment).transform(assess)
 
 
 def assessed_orders(bronze: DataFrame, keep_payment: Sequence[str] = ()) -> DataFrame:
-    """First arrivals, standardised and judged, without the keyless rows."""
-    return (
-        first_arrival(identify(bronze), ["order_id"], ARRIVAL)
-        .transform(standardise, keep_payment)
-        .transform(assess)
-    )
-
+    """First arrivals with their outcome, without the keyless rows.
 
-def assessed_keyless(bronze: DataFrame, keep_payment: Sequence[str] = ()) -> DataFrame:
-    """Rows without an order number: never deduplicated, always rejected."""
-    return (
-        without_keys(identify(bronze), ["order_id"])
-        .transform(standardise, keep_payment)
-        .transform(assess)
-    )
+    Rows are judged before the shuffle and filtered after it.  An unusable first
+    arrival still hides a usable retry, as it should, but what travels is typed
+    columns and a verdict instead of the whole text, parsed once.
+    """
+    return first_arrival(judged_rows(bronze, keep_payment), ["order_id"], ARRIVAL)
 
 
 def assessed_all(bronze: DataFrame, keep_payment: Sequence[str] = ()) -> DataFrame:
-    """Every surviving row with its outcome: the keyed and the keyless ones."""
+    """Every surviving row with its outcome: first arrivals, and the rows without
+    an order number, which are never taken for copies of each other."""
     return assessed_orders(bronze, keep_payment).unionByName(
-        assessed_keyless(bronze, keep_payment)
+        without_keys(judged_rows(bronze, keep_payment), ["order_id"])
     )
 
 

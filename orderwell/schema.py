@@ -20,6 +20,13 @@ ORDER_COLUMNS = [
     "status",
 ]
 
+
+
+def raw_name(column: str) -> str:
+    """Where a column's text as landed is kept while its clean value is made."""
+    return f"raw_{column}"
+
+
 # Added on landing: load time, file of origin, position within the load.
 AUDIT_COLUMNS = ["ingestion_ts", "source_file", "src_seq"]
 
