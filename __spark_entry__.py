@@ -242,7 +242,8 @@ def fk_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = _changes(spark, sf_dir)
-    return merge.upsert(first, second).select(*CHANGE_COLUMNS)
+    # The upsert reads its source twice (keys, rows), so store it as a load would.
+    return merge.upsert(first, stage(second, "load")).select(*CHANGE_COLUMNS)
 
 
 def upsert_newer(spark: SparkSession, sf_dir: str) -> DataFrame:
