@@ -1,0 +1,173 @@
+from collections import Counter
+
+import feed
+import pytest
+
+from orderwell.plans.retail import run, silver_as_of, silver_history
+from orderwell.schema import ORDER_COLUMNS
+from orderwell.sources.feeds import read_delivery, read_orders, write_delivery
+from orderwell.sources.tables import scratch_path
+from orderwell.streaming.arrivals import load_arrivals
+
+AT = "2024-01-01 00:00:00"
+ROWS = [r for _, r in feed.MESSY]
+# In a file the first line is the first arrival.
+IN_FILE_ORDER = [(0, r) for r in ROWS]
+
+
+def texts(df):
+    return Counter(tuple(r) for r in df.select(*ORDER_COLUMNS).collect())
+
+
+def expected_texts(rows):
+    return Counter(tuple(r[c] or None for c in ORDER_COLUMNS) for r in rows)
+
+
+def test_landing_keeps_every_row_as_text(spark, tmp_path):
+    path = str(tmp_path / "orders.csv")
+    feed.write_csv(path, ROWS)
+    bronze = read_orders(spark, path, AT)
+    assert set(bronze.columns) == {*ORDER_COLUMNS, "ingestion_ts", "source_file", "src_seq"}
+    assert texts(bronze) == expected_texts(ROWS)
+    assert {r.source_file.endswith("orders.csv") for r in bronze.collect()} == {True}
+    in_order = [r.order_id for r in bronze.orderBy("src_seq").collect()]
+    assert in_order == [r["order_id"] or None for r in ROWS]
+
+
+def test_columns_are_bound_by_name(spark, tmp_path):
+    path = str(tmp_path / "turned.csv")
+    feed.write_csv(path, ROWS, header=list(reversed(feed.HEADER)))
+    assert texts(read_orders(spark, path, AT)) == expected_texts(ROWS)
+
+
+def test_drifting_headers(spark, tmp_path):
+    narrow, wide = str(tmp_path / "narrow.csv"), str(tmp_path / "wide.csv")
+    short = [c for c in feed.HEADER if c not in ("category", "unit_price")]
+    feed.write_csv(narrow, ROWS[:5], header=short)
+    feed.write_csv(wide, [{**r, "channel": "web"} for r in ROWS[5:]], header=[*feed.HEADER, "channel"])
+    bronze = read_orders(spark, [narrow, wide], AT)
+    assert bronze.count() == len(ROWS)
+    assert {r.channel for r in bronze.collect()} == {None, "web"}
+    old = bronze.filter("channel is null")
+    assert {(r.category, r.unit_price) for r in old.collect()} == {(None, None)}
+
+
+def test_short_rows_are_kept(spark, tmp_path):
+    path = tmp_path / "short.csv"
+    path.write_text(",".join(feed.HEADER) + "\nX-1,C-1,P-1\n")
+    assert texts(read_orders(spark, str(path), AT)) == Counter(
+        [("X-1", "C-1", "P-1", *[None] * 9)]
+    )
+
+
+def test_mixed_headers_in_one_delivery_fail(spark, tmp_path):
+    folder = tmp_path / "delivery"
+    folder.mkdir()
+    feed.write_csv(folder / "1.csv", ROWS[:3])
+    feed.write_csv(folder / "2.csv", ROWS[3:], header=list(reversed(feed.HEADER)))
+    with pytest.raises(Exception, match="header does not conform"):
+        read_delivery(spark, str(folder)).collect()
+
+
+def test_written_delivery_reads_back(spark):
+    bronze = feed.landed(spark).select(*ORDER_COLUMNS)
+    path = scratch_path(spark, "delivery")
+    write_delivery(bronze, path)
+    assert texts(read_delivery(spark, path)) == texts(bronze)
+
+
+def silver_rows(df):
+    columns = [*feed.HEADER, "total_order_value"]
+    return Counter(tuple(r[c] for c in columns) for r in df.collect())
+
+
+def brute_rows(clean):
+    columns = [*feed.HEADER, "total_order_value"]
+    return Counter(tuple(r[c] for c in columns) for r in clean)
+
+
+SECOND = [
+    feed.row("E-1", quantity="9", order_date="2023-09-09"),  # moves from January
+    feed.row("E-6", quantity="0"),  # now useless: the stored order stays
+    feed.row("N-1", category="new things", order_date="2023-09-01"),
+    feed.row("N-1", category="new things", order_date="2023-09-02"),
+]
+
+
+@pytest.fixture(scope="module")
+def loads(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("feeds")
+    first, second = str(folder / "1.csv"), str(folder / "2.csv")
+    feed.write_csv(first, ROWS)
+    feed.write_csv(second, SECOND)
+    out = str(tmp_path_factory.mktemp("warehouse") / "w")
+    layout = run(spark, first, out, version=0, loaded_at=AT)
+    run(spark, second, out, version=1, loaded_at="2024-01-02 00:00:00")
+    run(spark, second, out, version=1, loaded_at="2024-01-02 00:00:00")  # repeated
+    return layout
+
+
+def expected_silver():
+    first = {r["order_id"]: r for r in feed.brute_force(IN_FILE_ORDER)["clean"]}
+    second = {r["order_id"]: r for r in feed.brute_force([(0, r) for r in SECOND])["clean"]}
+    return first, {**first, **second}
+
+
+def test_silver_after_two_loads(spark, loads):
+    _, merged = expected_silver()
+    assert silver_rows(spark.read.parquet(loads.table("silver"))) == brute_rows(merged.values())
+
+
+def test_time_travel(spark, loads):
+    first, merged = expected_silver()
+    assert silver_rows(silver_as_of(spark, loads, 0)) == brute_rows(first.values())
+    assert silver_rows(silver_as_of(spark, loads, 1)) == brute_rows(merged.values())
+    done = {(r.version, r.op): r.rows for r in silver_history(spark, loads).collect()}
+    assert done == {(0, "insert"): len(first), (1, "insert"): 1, (1, "update"): 1}
+
+
+def test_gold_covers_all_of_silver(spark, loads):
+    _, merged = expected_silver()
+    gold = loads.of_load("gold", 1)
+    monthly = spark.read.parquet(f"{gold}/monthly_by_category").collect()
+    got = {
+        (r.order_year, r.order_month, r.category): (
+            r.total_revenue, r.total_orders, r.unique_customers, r.avg_order_value,
+        )
+        for r in monthly
+    }
+    assert got == feed.brute_monthly(merged.values())
+    assert spark.read.parquet(f"{gold}/fact_sales").count() == len(merged)
+    assert spark.read.parquet(f"{gold}/dim_store").count() == len(
+        {r["store_region"] for r in merged.values()}
+    )
+
+
+def test_ledger_keeps_returns_and_rejects(spark, loads):
+    expected = feed.brute_force(IN_FILE_ORDER)
+    ledger = spark.read.parquet(loads.of_load("ledger", 0))
+    counts = {r.outcome: r["count"] for r in ledger.groupBy("outcome").count().collect()}
+    assert counts == {k: len(v) for k, v in expected.items()}
+    text = ledger.filter("order_id = 'C-3'").select("raw.quantity").collect()
+    assert [r.quantity for r in text] == ["N/A"]
+
+
+def test_metrics_are_stored(spark, loads):
+    stored = spark.read.parquet(loads.of_load("metrics", 1)).collect()
+    metrics = {r.metric: r.value for r in stored}
+    assert (metrics["raw_rows"], metrics["duplicates_removed"], metrics["clean_rows"]) == (4, 1, 2)
+
+
+def test_arriving_files_are_loaded_once(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "w")
+    folder.mkdir()
+    feed.write_csv(folder / "1.csv", ROWS)
+    load_arrivals(spark, str(folder), out, AT).awaitTermination()
+    feed.write_csv(folder / "2.csv", SECOND)
+    for _ in range(2):  # the second time there is nothing new
+        load_arrivals(spark, str(folder), out, "2024-01-02 00:00:00").awaitTermination()
+    _, merged = expected_silver()
+    assert silver_rows(spark.read.parquet(f"{out}/silver")) == brute_rows(merged.values())
+    landed = spark.read.parquet(f"{out}/bronze")
+    assert landed.count() == len(ROWS) + len(SECOND)
+    assert {r.version for r in landed.select("version").distinct().collect()} == {0, 1}
