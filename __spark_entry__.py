@@ -14,7 +14,7 @@ from pyspark.sql.types import ArrayType, DateType, DecimalType, TimestampNTZType
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle.sql import ORACLE  # noqa: E402
-from orderwell.messy_orders import messy_batches, messy_entities, messy_orders  # noqa: E402
+from orderwell.messy_orders import batches, messy_entities, messy_orders  # noqa: E402
 from orderwell.operators import dedup, dimensions, merge, quality  # noqa: E402
 from orderwell.operators.constraints import pk_violations  # noqa: E402
 from orderwell.operators.summaries import monthly_summary  # noqa: E402
@@ -55,14 +55,19 @@ def _standardised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.standardise(messy_orders(spark, sf_dir))
 
 
+def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed landed as a bronze table, for queries that read it twice."""
+    return stage(silver.flag_keyed(messy_orders(spark, sf_dir)), "bronze", ["keyed"])
+
+
 def _stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean orders as a stored table, for questions that read them twice."""
     return stage(silver.clean_orders(messy_orders(spark, sf_dir)), "silver")
 
 
-def _changes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _changes(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Clean rows of two overlapping loads; the second doubles every value."""
-    first, second = (silver.clean_orders(b) for b in messy_batches(spark, sf_dir))
+    first, second = (silver.clean_orders(b) for b in batches(feed))
     doubled = (F.col("total_order_value") * 2).cast(ORDER_VALUE)
     return (
         first.withColumn("version", F.lit(0)),
@@ -167,30 +172,30 @@ def returns_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outcome_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.assessed_all(messy_orders(spark, sf_dir)).select(
+    return silver.assessed_all(_landed(spark, sf_dir)).select(
         "order_id", "src_seq", "ingestion_ts", "outcome"
     )
 
 
 def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.rejected_rows(messy_orders(spark, sf_dir))
+    return silver.rejected_rows(_landed(spark, sf_dir))
 
 
 def rejected_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.rejected_by_reason(silver.assessed_all(messy_orders(spark, sf_dir)))
+    return quality.rejected_by_reason(silver.assessed_all(_landed(spark, sf_dir)))
 
 
 def critical_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.critical_nulls(silver.assessed_all(messy_orders(spark, sf_dir)))
+    return quality.critical_nulls(silver.assessed_all(_landed(spark, sf_dir)))
 
 
 def invalid_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.unreadable_dates(silver.assessed_all(messy_orders(spark, sf_dir)))
+    return quality.unreadable_dates(silver.assessed_all(_landed(spark, sf_dir)))
 
 
 def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = messy_orders(spark, sf_dir)
-    return quality.load_metrics(feed, silver.assessed_all(feed))
+    landed = _landed(spark, sf_dir)
+    return quality.load_metrics(landed, silver.assessed_all(landed))
 
 
 # --- star schema -----------------------------------------------------------
@@ -226,8 +231,9 @@ def pk_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fk_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sales against the dimensions of the first load and the store feed."""
-    clean = _stored_silver(spark, sf_dir)
-    first = stage(silver.clean_orders(messy_batches(spark, sf_dir)[0]), "first-load")
+    landed = _landed(spark, sf_dir)
+    clean = stage(silver.clean_orders(landed), "silver")
+    first = stage(silver.clean_orders(batches(landed)[0]), "first-load")
     stores = messy_entities(spark, sf_dir)["stores"].select(
         title_case(F.col("store_region")).alias("store_region")
     )
@@ -241,33 +247,33 @@ def fk_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first, second = _changes(spark, sf_dir)
+    first, second = _changes(_landed(spark, sf_dir))
     # The upsert reads its source twice (keys, rows), so store it as a load would.
     return merge.upsert(first, stage(second, "load")).select(*CHANGE_COLUMNS)
 
 
 def upsert_newer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The loads in the wrong order: the late old one must not win."""
-    first, second = _changes(spark, sf_dir)
+    first, second = _changes(_landed(spark, sf_dir))
     return merge.upsert(second, first, newer_by="ingestion_ts").select(*CHANGE_COLUMNS)
 
 
 def upsert_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first, _ = _changes(spark, sf_dir)
+    first, _ = _changes(messy_orders(spark, sf_dir))
     empty = spark.createDataFrame([], first.schema)
     return merge.upsert(empty, first).select(*CHANGE_COLUMNS)
 
 
 def _as_of(version: int) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        first, second = _changes(spark, sf_dir)
+        first, second = _changes(_landed(spark, sf_dir))
         return merge.as_of(first.unionByName(second), version).select(*CHANGE_COLUMNS)
 
     return query
 
 
 def load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first, second = _changes(spark, sf_dir)
+    first, second = _changes(_landed(spark, sf_dir))
     return merge.history(merge.label_changes(first.unionByName(second)))
 
 
@@ -279,8 +285,9 @@ def preview_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def revenue_by_category_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sales against the products of the first load."""
-    first = silver.clean_orders(messy_batches(spark, sf_dir)[0])
-    fact = dimensions.fact_sales(silver.clean_orders(messy_orders(spark, sf_dir)))
+    landed = _landed(spark, sf_dir)
+    first = silver.clean_orders(batches(landed)[0])
+    fact = dimensions.fact_sales(silver.clean_orders(landed))
     return questions.revenue_by_category(fact, dimensions.dim_product(first), how="left")
 
 

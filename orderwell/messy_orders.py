@@ -164,9 +164,8 @@ def messy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def messy_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def batches(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two overlapping loads: up to August, and from July on."""
-    feed = messy_orders(spark, sf_dir)
     month = F.month("ingestion_ts")
     return feed.filter(month <= 8), feed.filter(month >= 7)
 

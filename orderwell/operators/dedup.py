@@ -15,14 +15,6 @@ def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(keys))
 
 
-def without_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows with a missing key: they have no identity, so nothing to compare."""
-    missing = F.lit(False)
-    for key in keys:
-        missing = missing | F.col(key).isNull()
-    return df.filter(missing)
-
-
 def first_arrival(
     df: DataFrame, keys: Sequence[str] = ("order_id",), arrival: Sequence[str] = ARRIVAL
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderwell.functions import blank_to_null, mixed_date, order_value, title_case
-from orderwell.operators.dedup import first_arrival, without_keys
+from orderwell.operators.dedup import first_arrival
 from orderwell.operators.quality import CLEAN, REJECTED, RETURN, assess
 from orderwell.schema import (
     ARRIVAL,
@@ -105,11 +105,26 @@ def assessed_orders(bronze: DataFrame, keep_payment: Sequence[str] = ()) -> Data
     return first_arrival(judged_rows(bronze, keep_payment), ["order_id"], ARRIVAL)
 
 
+def flag_keyed(bronze: DataFrame) -> DataFrame:
+    """Adds ``keyed``: whether the row has an order number at all.
+
+    Stored as a partition of bronze, it lets the two halves be read apart.
+    """
+    if "keyed" in bronze.columns:
+        return bronze
+    return bronze.withColumn("keyed", blank_to_null(F.col("order_id")).isNotNull())
+
+
 def assessed_all(bronze: DataFrame, keep_payment: Sequence[str] = ()) -> DataFrame:
     """Every surviving row with its outcome: first arrivals, and the rows without
-    an order number, which are never taken for copies of each other."""
-    return assessed_orders(bronze, keep_payment).unionByName(
-        without_keys(judged_rows(bronze, keep_payment), ["order_id"])
+    an order number, which are never taken for copies of each other nor shuffled.
+    """
+    flagged = flag_keyed(bronze)
+    keyed, keyless = flagged.filter("keyed"), flagged.filter("not keyed")
+    return (
+        assessed_orders(keyed, keep_payment)
+        .unionByName(judged_rows(keyless, keep_payment))
+        .drop("keyed")
     )
 
 

@@ -30,14 +30,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/orderwell/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     For a frame with several consumers: each then reads only the columns it
     needs, and losing an executor does not rerun what came before.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
