@@ -14,6 +14,8 @@ from orderwell.operators.quality import CLEAN, REJECTED, RETURN, assess
 from orderwell.schema import (
     ARRIVAL,
     DISCOUNT_PCT,
+    GIVEN_DISCOUNT,
+    GIVEN_PRICE,
     ORDER_COLUMNS,
     QUANTITY,
     SILVER_COLUMNS,
@@ -30,14 +32,23 @@ class Silver(NamedTuple):
 
 
 def type_columns(df: DataFrame) -> DataFrame:
-    """Numbers and dates out of text; what cannot be read becomes null."""
+    """Numbers and dates out of text; what cannot be read becomes null.
+
+    ``price_given`` and ``discount_given`` keep the fractions of a cent that the
+    stored columns round away; the order value is worked out from them.
+    """
     return df.withColumns(
         {
             "quantity": F.col("quantity").try_cast(QUANTITY),
-            "unit_price": F.col("unit_price").try_cast(UNIT_PRICE),
-            "discount_pct": F.col("discount_pct").try_cast(DISCOUNT_PCT),
+            "price_given": F.col("unit_price").try_cast(GIVEN_PRICE),
+            "discount_given": F.col("discount_pct").try_cast(GIVEN_DISCOUNT),
             "order_date": mixed_date(F.col("order_date")),
         }
+    ).withColumns(
+        {
+            "unit_price": F.col("price_given").try_cast(UNIT_PRICE),
+            "discount_pct": F.col("discount_given").try_cast(DISCOUNT_PCT),
+        }
     )
 
 
@@ -60,6 +71,7 @@ def fill_missing(df: DataFrame) -> DataFrame:
         {
             "store_region": F.coalesce("store_region", F.lit(UNKNOWN_REGION)),
             "discount_pct": F.coalesce("discount_pct", F.lit(0).cast(DISCOUNT_PCT)),
+            "discount_given": F.coalesce("discount_given", F.lit(0).cast(GIVEN_DISCOUNT)),
         }
     )
 
@@ -70,7 +82,7 @@ def derive(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             "total_order_value": order_value(
-                F.col("quantity"), F.col("unit_price"), F.col("discount_pct")
+                F.col("quantity"), F.col("price_given"), F.col("discount_given")
             ),
             "order_year": F.year(day),
             "order_month": F.month(day),

@@ -40,6 +40,11 @@ UNIT_PRICE = DecimalType(10, 2)
 DISCOUNT_PCT = DecimalType(5, 2)
 ORDER_VALUE = DecimalType(12, 2)
 
+# Price and discount as given, for the order value: rounding them first would
+# change it.  As many whole digits as the stored columns have.
+GIVEN_PRICE = DecimalType(13, 5)
+GIVEN_DISCOUNT = DecimalType(7, 4)
+
 UNKNOWN_REGION = "Unknown"
 
 SILVER_COLUMNS = [
