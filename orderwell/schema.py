@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import DecimalType, IntegerType
+from pyspark.sql.types import (
+    DateType,
+    DecimalType,
+    IntegerType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 # The raw order feed, in header order.  All text on landing.
 ORDER_COLUMNS = [
@@ -47,25 +55,28 @@ GIVEN_DISCOUNT = DecimalType(7, 4)
 
 UNKNOWN_REGION = "Unknown"
 
-SILVER_COLUMNS = [
-    "order_id",
-    "customer_id",
-    "product_id",
-    "product_name",
-    "category",
-    "quantity",
-    "unit_price",
-    "discount_pct",
-    "order_date",
-    "order_year",
-    "order_month",
-    "order_day",
-    "store_region",
-    "payment_method",
-    "status",
-    "total_order_value",
-    "ingestion_ts",
-]
+SILVER_SCHEMA = StructType(
+    [
+        StructField("order_id", StringType()),
+        StructField("customer_id", StringType()),
+        StructField("product_id", StringType()),
+        StructField("product_name", StringType()),
+        StructField("category", StringType()),
+        StructField("quantity", QUANTITY),
+        StructField("unit_price", UNIT_PRICE),
+        StructField("discount_pct", DISCOUNT_PCT),
+        StructField("order_date", DateType()),
+        StructField("order_year", IntegerType()),
+        StructField("order_month", IntegerType()),
+        StructField("order_day", IntegerType()),
+        StructField("store_region", StringType()),
+        StructField("payment_method", StringType()),
+        StructField("status", StringType()),
+        StructField("total_order_value", ORDER_VALUE),
+        StructField("ingestion_ts", TimestampType()),
+    ]
+)
+SILVER_COLUMNS = SILVER_SCHEMA.names
 
 FACT_COLUMNS = [
     "order_id",

@@ -9,12 +9,18 @@ from pyspark.sql import functions as F
 
 from orderwell.operators.dedup import first_arrival
 from orderwell.schema import ARRIVAL, ENTITY_FEEDS, ORDER_COLUMNS
+from orderwell.sources.tables import stage
 
 
 def _lookup(feeds: Mapping[str, DataFrame], name: str) -> DataFrame:
-    """A feed as a lookup: one row per natural key, the first that arrived."""
+    """A feed as a lookup: one row per natural key, the first that arrived.
+
+    Stored, so that the join shuffles it afresh: Spark splits a hot key only in
+    a join whose two sides are both plain shuffles, and a deduplicated side that
+    is already laid out by the key would stand in the way.
+    """
     columns = ENTITY_FEEDS[name]
-    return first_arrival(feeds[name], [columns[0]], ARRIVAL).select(*columns)
+    return stage(first_arrival(feeds[name], [columns[0]], ARRIVAL).select(*columns), name)
 
 
 def join_entities(feeds: Mapping[str, DataFrame]) -> DataFrame:
@@ -25,8 +31,8 @@ def join_entities(feeds: Mapping[str, DataFrame]) -> DataFrame:
     region counts only if the store feed knows it.  Where transaction and
     payment both carry discount or status, the transaction's value wins.
 
-    The lookups meet the transactions through sort-merge joins whose left side
-    Spark splits when one customer or product is hot.
+    Transactions of one hot customer, product or order, and those with the key
+    missing, are split over several tasks by the adaptive join.
     """
     payments = _lookup(feeds, "payments").select(
         "order_id",
@@ -34,16 +40,17 @@ def join_entities(feeds: Mapping[str, DataFrame]) -> DataFrame:
         F.col("discount_pct").alias("paid_discount"),
         F.col("status").alias("paid_status"),
     )
-    customers = _lookup(feeds, "customers").join(
-        _lookup(feeds, "stores"), "store_region", "left_semi"
-    )
+    stores = _lookup(feeds, "stores").withColumnRenamed("store_region", "known_region")
+    customers = _lookup(feeds, "customers")
     return (
         feeds["transactions"]
         .join(payments, "order_id", "left")
         .join(customers, "customer_id", "left")
         .join(_lookup(feeds, "products"), "product_id", "left")
+        .join(stores, F.col("store_region") == F.col("known_region"), "left")
         .withColumns(
             {
+                "store_region": F.col("known_region"),
                 "discount_pct": F.coalesce("discount_pct", "paid_discount"),
                 "status": F.coalesce("status", "paid_status"),
             }

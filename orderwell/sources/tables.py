@@ -16,18 +16,27 @@ from pyspark.sql import functions as F
 from orderwell.operators.merge import upsert
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        shared = f"{tempfile.gettempdir()}/orderwell-local"
+    return f"{shared.rstrip('/')}/orderwell/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh directory name in the cluster's shared folder.
 
     The folder is the session's ``spark.checkpoint.dir``.  Only a local session
     without one (tests) gets a folder on this machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="orderwell-")
-    return f"{shared.rstrip('/')}/orderwell/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Removes what this application staged; call it when done with the results."""
+    _remove(spark, _scratch_root(spark))
 
 
 def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -182,7 +191,11 @@ def _remove_directory(
         f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else quote(str(row[c]))}"
         for c in partition_by
     ]
-    directory = spark._jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *parts]))
+    _remove(spark, "/".join([path.rstrip("/"), *parts]))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    directory = spark._jvm.org.apache.hadoop.fs.Path(path)
     directory.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(
         directory, True
     )

@@ -13,6 +13,7 @@ from orderwell.operators.summaries import monthly_summary
 from orderwell.plans import questions, silver
 from orderwell.plans.retail import run
 from orderwell.plans.star import build_star
+from orderwell.sources.entities import join_entities
 from orderwell.sources.tables import scratch_path, stage
 
 SF = "/root/testdata/sf0.001"
@@ -155,6 +156,76 @@ def test_a_hot_order_ships_one_row_per_task(spark):
     assert parts_of.clean.count() == n // 3 + 1
 
 
+def test_hot_keys_are_split_when_entities_are_joined(spark):
+    """A third of the rows without order, a third of one customer."""
+    n, row = 90_000, F.col("id")
+    stamp = F.lit("2024-01-01").cast("timestamp")
+
+    def feed_of(df):
+        return df.withColumn("ingestion_ts", stamp).withColumn(
+            "src_seq", F.monotonically_increasing_id()
+        )
+
+    transactions = spark.range(n).select(
+        F.when(row % 3 != 0, F.concat(F.lit("O-"), row)).alias("order_id"),
+        F.when(row % 3 == 1, "HOT").otherwise(F.concat(F.lit("C-"), row)).alias("customer_id"),
+        F.concat(F.lit("P-"), row % 100).alias("product_id"),
+        F.lit("2024-01-01").alias("order_date"),
+        F.lit("1").alias("quantity"),
+        F.lit(None).cast("string").alias("discount_pct"),
+        F.lit("Completed").alias("status"),
+        stamp.alias("ingestion_ts"),
+        row.alias("src_seq"),
+    )
+    regions = F.concat(F.lit("R-"), row % 7).alias("store_region")
+    feeds = {
+        "transactions": transactions,
+        "customers": feed_of(
+            transactions.filter("customer_id <> 'HOT'")
+            .select("customer_id", F.lit("R-1").alias("store_region"))
+            .union(spark.range(1).select(F.lit("HOT"), F.lit("R-2")))
+        ),
+        "products": feed_of(
+            spark.range(100).select(
+                F.concat(F.lit("P-"), row).alias("product_id"),
+                F.lit("Kettle").alias("product_name"),
+                F.lit("Kitchen").alias("category"),
+                F.lit("2.50").alias("unit_price"),
+            )
+        ),
+        "payments": feed_of(
+            transactions.filter("order_id is not null").select(
+                "order_id",
+                F.lit("Cash").alias("payment_method"),
+                F.lit("5").alias("discount_pct"),
+                F.lit("Completed").alias("status"),
+            )
+        ),
+        "stores": feed_of(spark.range(7).select(regions)),
+    }
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        counted = join_entities(feeds).agg(
+            *[F.count(c).alias(c) for c in ("quantity", "store_region", "unit_price", "payment_method")]
+        )
+        assert [tuple(r) for r in counted.collect()] == [(n, n, n, n * 2 // 3)]
+        joins = plan(counted).split("== Initial Plan ==")[0]
+        assert re.search(r"SortMergeJoin\(skew=true\) \[order_id", joins)
+        assert re.search(r"SortMergeJoin\(skew=true\) \[customer_id", joins)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def metrics_text(node):
     """Metrics of every exchange below a finished adaptive plan, as text."""
     found, todo = [], [node]
