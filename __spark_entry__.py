@@ -260,8 +260,7 @@ def upsert_newer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, _ = _changes(messy_orders(spark, sf_dir))
-    empty = spark.createDataFrame([], first.schema)
-    return merge.upsert(empty, first).select(*CHANGE_COLUMNS)
+    return merge.upsert(first.limit(0), first).select(*CHANGE_COLUMNS)
 
 
 def _as_of(version: int) -> Query:

@@ -77,6 +77,7 @@ SILVER_SCHEMA = StructType(
     ]
 )
 SILVER_COLUMNS = SILVER_SCHEMA.names
+SILVER_PARTITIONS = ["order_year", "order_month"]
 
 FACT_COLUMNS = [
     "order_id",

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from orderwell.operators.merge import upsert
+from orderwell.schema import SILVER_PARTITIONS
 
 
 def _scratch_root(spark: SparkSession) -> str:
@@ -77,7 +78,7 @@ def merge_table(
     source: DataFrame,
     path: str,
     keys: Sequence[str] = ("order_id",),
-    partition_by: Sequence[str] = ("order_year", "order_month"),
+    partition_by: Sequence[str] = SILVER_PARTITIONS,
     newer_by: str | None = None,
 ) -> None:
     """Upserts ``source`` into the partitioned table at ``path``.

@@ -3,7 +3,8 @@ from collections import Counter
 import feed
 import pytest
 
-from orderwell.plans.retail import run, silver_as_of, silver_history
+from orderwell.plans.retail import rebuild_silver, run, silver_as_of, silver_history
+from orderwell.plans.silver import to_silver
 from orderwell.schema import ORDER_COLUMNS
 from orderwell.sources.feeds import read_delivery, read_orders, write_delivery
 from orderwell.sources.tables import scratch_path
@@ -158,6 +159,18 @@ def test_metrics_are_stored(spark, loads):
     assert (metrics["raw_rows"], metrics["duplicates_removed"], metrics["clean_rows"]) == (4, 1, 2)
 
 
+def test_silver_can_be_rebuilt_from_the_ledger(spark, loads):
+    stored = silver_rows(spark.read.parquet(loads.table("silver")))
+    rebuild_silver(spark, loads)
+    assert silver_rows(spark.read.parquet(loads.table("silver"))) == stored
+
+
+def test_acronyms_can_be_kept(spark):
+    bronze = feed.landed(spark, [(1, feed.row("K-1", payment_method="upi"))])
+    assert [r.payment_method for r in to_silver(bronze).clean.collect()] == ["Upi"]
+    assert [r.payment_method for r in to_silver(bronze, ["UPI"]).clean.collect()] == ["UPI"]
+
+
 def test_arriving_files_are_loaded_once(spark, tmp_path):
     folder, out = tmp_path / "in", str(tmp_path / "w")
     folder.mkdir()

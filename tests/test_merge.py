@@ -4,7 +4,14 @@ from datetime import date, datetime
 import pytest
 
 from orderwell.operators.merge import as_of, history, label_changes, upsert
-from orderwell.sources.tables import merge_table, scratch_path, table_exists, write_table
+from orderwell.sources.tables import (
+    drop_staged,
+    merge_table,
+    scratch_path,
+    stage,
+    table_exists,
+    write_table,
+)
 
 SCHEMA = "order_id string, order_date date, order_year int, order_month int, v int, ts timestamp"
 
@@ -153,3 +160,12 @@ def test_write_table_replaces(spark, table):
     write_table(rows(spark, ("c", 3, 1)), table, ["order_year", "order_month"])
     assert stored(spark, table) == {"c": (3, 1)}
     assert months(table) == {"order_year=2024/order_month=3"}
+
+
+def test_staged_tables_can_be_dropped(spark):
+    staged = stage(rows(spark, ("a", 1, 1)), "staged")
+    assert staged.count() == 1
+    folder = os.path.dirname(staged.inputFiles()[0].removeprefix("file://"))
+    assert os.path.exists(folder)
+    drop_staged(spark)
+    assert not os.path.exists(folder)
