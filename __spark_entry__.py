@@ -27,7 +27,7 @@ from orderwell.sources.feeds import (  # noqa: E402
     union_deliveries,
     write_delivery,
 )
-from orderwell.sources.tables import scratch_path, stage  # noqa: E402
+from orderwell.sources.tables import scratch_path, stage, stage_once  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 LANDED_AT = "2024-04-01 06:00:00"
@@ -55,14 +55,22 @@ def _standardised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.standardise(messy_orders(spark, sf_dir))
 
 
-def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed landed as a bronze table, for queries that read it twice."""
-    return stage(silver.flag_keyed(messy_orders(spark, sf_dir)), "bronze", ["keyed"])
 
+    def build() -> DataFrame:
+        return silver.flag_keyed(messy_orders(spark, sf_dir))
 
-def _stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage_once(spark, f"bronze of {sf_dir}", build, ["keyed"])
+
+
+def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean orders as a stored table, for questions that read them twice."""
-    return stage(silver.clean_orders(messy_orders(spark, sf_dir)), "silver")
+
+    def build() -> DataFrame:
+        return silver.clean_orders(landed_feed(spark, sf_dir))
+
+    return stage_once(spark, f"silver of {sf_dir}", build)
 
 
 def _changes(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -172,29 +180,29 @@ def returns_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outcome_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.assessed_all(_landed(spark, sf_dir)).select(
+    return silver.assessed_all(landed_feed(spark, sf_dir)).select(
         "order_id", "src_seq", "ingestion_ts", "outcome"
     )
 
 
 def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.rejected_rows(_landed(spark, sf_dir))
+    return silver.rejected_rows(landed_feed(spark, sf_dir))
 
 
 def rejected_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.rejected_by_reason(silver.assessed_all(_landed(spark, sf_dir)))
+    return quality.rejected_by_reason(silver.assessed_all(landed_feed(spark, sf_dir)))
 
 
 def critical_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.critical_nulls(silver.assessed_all(_landed(spark, sf_dir)))
+    return quality.critical_nulls(silver.assessed_all(landed_feed(spark, sf_dir)))
 
 
 def invalid_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.unreadable_dates(silver.assessed_all(_landed(spark, sf_dir)))
+    return quality.unreadable_dates(silver.assessed_all(landed_feed(spark, sf_dir)))
 
 
 def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = _landed(spark, sf_dir)
+    landed = landed_feed(spark, sf_dir)
     return quality.load_metrics(landed, silver.assessed_all(landed))
 
 
@@ -214,13 +222,13 @@ def _from_star(ask: Callable[[star.Star], DataFrame]) -> Query:
     """A question on fact and dimensions, which both read the stored silver."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return ask(star.build_star(_stored_silver(spark, sf_dir)))
+        return ask(star.build_star(stored_silver(spark, sf_dir)))
 
     return query
 
 
 def pk_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = _stored_silver(spark, sf_dir)
+    clean = stored_silver(spark, sf_dir)
     declared = pk_violations(
         dimensions.customer_pairs(clean), "customer_id", "customer_pairs"
     ).unionByName(
@@ -231,9 +239,8 @@ def pk_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fk_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sales against the dimensions of the first load and the store feed."""
-    landed = _landed(spark, sf_dir)
-    clean = stage(silver.clean_orders(landed), "silver")
-    first = stage(silver.clean_orders(batches(landed)[0]), "first-load")
+    clean = stored_silver(spark, sf_dir)
+    first = stage(silver.clean_orders(batches(landed_feed(spark, sf_dir))[0]), "first-load")
     stores = messy_entities(spark, sf_dir)["stores"].select(
         title_case(F.col("store_region")).alias("store_region")
     )
@@ -247,14 +254,14 @@ def fk_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first, second = _changes(_landed(spark, sf_dir))
+    first, second = _changes(landed_feed(spark, sf_dir))
     # The upsert reads its source twice (keys, rows), so store it as a load would.
     return merge.upsert(first, stage(second, "load")).select(*CHANGE_COLUMNS)
 
 
 def upsert_newer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The loads in the wrong order: the late old one must not win."""
-    first, second = _changes(_landed(spark, sf_dir))
+    first, second = _changes(landed_feed(spark, sf_dir))
     return merge.upsert(second, first, newer_by="ingestion_ts").select(*CHANGE_COLUMNS)
 
 
@@ -265,14 +272,14 @@ def upsert_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _as_of(version: int) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        first, second = _changes(_landed(spark, sf_dir))
+        first, second = _changes(landed_feed(spark, sf_dir))
         return merge.as_of(first.unionByName(second), version).select(*CHANGE_COLUMNS)
 
     return query
 
 
 def load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first, second = _changes(_landed(spark, sf_dir))
+    first, second = _changes(landed_feed(spark, sf_dir))
     return merge.history(merge.label_changes(first.unionByName(second)))
 
 
@@ -284,9 +291,8 @@ def preview_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def revenue_by_category_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sales against the products of the first load."""
-    landed = _landed(spark, sf_dir)
-    first = silver.clean_orders(batches(landed)[0])
-    fact = dimensions.fact_sales(silver.clean_orders(landed))
+    first = silver.clean_orders(batches(landed_feed(spark, sf_dir))[0])
+    fact = dimensions.fact_sales(stored_silver(spark, sf_dir))
     return questions.revenue_by_category(fact, dimensions.dim_product(first), how="left")
 
 

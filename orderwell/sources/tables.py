@@ -5,13 +5,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orderwell.operators.merge import upsert
 from orderwell.schema import SILVER_PARTITIONS
@@ -51,6 +52,31 @@ def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_STAGED: dict[tuple[str, str], tuple[str, StructType]] = {}
+
+
+def stage_once(
+    spark: SparkSession,
+    name: str,
+    build: Callable[[], DataFrame],
+    partition_by: Sequence[str] = (),
+) -> DataFrame:
+    """``stage`` for a table that many questions share: built by the first to
+    ask within an application, read by the others.
+
+    ``name`` must tell the inputs apart.  A table is remembered only after it was
+    written in full.
+    """
+    key = (spark.sparkContext.applicationId, name)
+    path, schema = _STAGED.get(key, (None, None))
+    if path is None or not table_exists(spark, path):
+        df = build()
+        path, schema = scratch_path(spark, "shared"), df.schema
+        df.write.partitionBy(*partition_by).parquet(path)
+        _STAGED[key] = (path, schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.schema("_ int").parquet(path)

@@ -184,3 +184,17 @@ def test_arriving_files_are_loaded_once(spark, tmp_path):
     landed = spark.read.parquet(f"{out}/bronze")
     assert landed.count() == len(ROWS) + len(SECOND)
     assert {r.version for r in landed.select("version").distinct().collect()} == {0, 1}
+
+
+def test_a_header_alone_is_an_empty_load(spark, tmp_path):
+    path, out = str(tmp_path / "empty.csv"), str(tmp_path / "w")
+    feed.write_csv(path, [])
+    layout = run(spark, path, out, version=0, loaded_at=AT)
+    gold = layout.of_load("gold", 0)
+    assert spark.read.parquet(f"{gold}/fact_sales").count() == 0
+    full = str(tmp_path / "1.csv")
+    feed.write_csv(full, ROWS)
+    run(spark, full, out, version=1, loaded_at=AT)
+    first, _ = expected_silver()
+    assert silver_rows(spark.read.parquet(layout.table("silver"))) == brute_rows(first.values())
+    assert silver_as_of(spark, layout, 0).count() == 0

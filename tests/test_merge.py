@@ -9,6 +9,7 @@ from orderwell.sources.tables import (
     merge_table,
     scratch_path,
     stage,
+    stage_once,
     table_exists,
     write_table,
 )
@@ -162,6 +163,20 @@ def test_write_table_replaces(spark, table):
     assert months(table) == {"order_year=2024/order_month=3"}
 
 
+def test_shared_tables_are_built_once(spark):
+    built = []
+
+    def build():
+        built.append(1)
+        return rows(spark, ("a", 1, len(built)))
+
+    for _ in range(2):
+        assert values(stage_once(spark, "shared by the test", build)) == {"a": (1, 1)}
+    assert values(stage_once(spark, "another input", build)) == {"a": (1, 2)}
+    drop_staged(spark)
+    assert values(stage_once(spark, "shared by the test", build)) == {"a": (1, 3)}
+
+
 def test_staged_tables_can_be_dropped(spark):
     staged = stage(rows(spark, ("a", 1, 1)), "staged")
     assert staged.count() == 1
