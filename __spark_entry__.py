@@ -29,6 +29,17 @@ from orderwell.sources.feeds import (  # noqa: E402
 )
 from orderwell.sources.tables import scratch_path, stage, stage_once  # noqa: E402
 
+try:
+    from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL
+    from corpus_pipeline import run as run_pipeline
+    from orderwell.llm.oracle import ORACLE as TEXT_ORACLE
+    from orderwell.llm.queries import QUERIES as TEXT_QUERIES
+except ImportError:  # the library stands without the text operators
+    TEXT_QUERIES, TEXT_ORACLE = {}, {}
+else:
+    TEXT_QUERIES = {**TEXT_QUERIES, "pipeline": run_pipeline}
+    TEXT_ORACLE = TEXT_ORACLE | ({"pipeline": PIPELINE_SQL} if PIPELINE_SQL else {})
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 LANDED_AT = "2024-04-01 06:00:00"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -358,8 +369,8 @@ def queries() -> dict[str, Query]:
     def registered(query: Query) -> Query:
         return lambda spark, sf_dir: comparable(query(spark, sf_dir))
 
-    return {name: registered(query) for name, query in QUERIES.items()}
+    return {name: registered(query) for name, query in QUERIES.items()} | TEXT_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return ORACLE | TEXT_ORACLE

@@ -3,7 +3,6 @@ executor or a repeated run leaves them right."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
@@ -21,18 +20,13 @@ from orderwell.schema import SILVER_PARTITIONS
 def _scratch_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = f"{tempfile.gettempdir()}/orderwell-local"
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{shared.rstrip('/')}/orderwell/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh directory name in the cluster's shared folder.
-
-    The folder is the session's ``spark.checkpoint.dir``.  Only a local session
-    without one (tests) gets a folder on this machine.
-    """
+    """A fresh directory name in a folder that the whole cluster shares: the
+    session's ``spark.checkpoint.dir``, or its warehouse where that is unset."""
     return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
