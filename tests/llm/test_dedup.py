@@ -1,0 +1,138 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderwell.llm import exact_dedup, near_dedup
+from orderwell.llm.components import connected
+
+from . import brute
+from .conftest import by_row
+
+EXACT = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def test_exact_copies_match_brute_force(docs, rows):
+    assert by_row(exact_dedup.decide(docs), *EXACT) == brute.exact(rows)
+
+
+def test_filter_larger_than_its_bound_is_joined(docs, rows, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BROADCAST_BYTES", 0)
+    assert by_row(exact_dedup.decide(docs), *EXACT) == brute.exact(rows)
+
+
+def test_false_alarms_change_nothing(docs, rows, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BITS_PER_ROW", 0)
+    monkeypatch.setattr(exact_dedup, "SEGMENT_BITS", 16)
+    assert by_row(exact_dedup.decide(docs), *EXACT) == brute.exact(rows)
+
+
+def test_few_unique_rows_are_shuffled(spark):
+    unique = spark.range(20000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    keys = unique.select("doc_id", exact_dedup.fingerprint(F.col("text")).alias("sha"))
+    maybe = exact_dedup.RepeatFilter(keys).probe(keys, "sha", "maybe").filter("maybe").count()
+    assert maybe < 0.02 * 20000
+
+
+def test_dropping_copies_keeps_columns_and_one_row_each(docs, rows):
+    left = exact_dedup.drop_copies(docs)
+    assert left.columns == docs.columns and left.dtypes == docs.dtypes
+    kept = sorted(((r[0], r[4]) for r in brute.exact(rows) if r[3]), key=repr)
+    got = [(r.doc_id, brute.sha(brute.lower(r.text))) for r in left.collect()]
+    assert sorted(got, key=repr) == kept
+
+
+def test_empty_tables(no_docs):
+    assert exact_dedup.decide(no_docs).count() == 0
+    assert exact_dedup.drop_copies(no_docs).count() == 0
+    assert near_dedup.components(no_docs).count() == 0
+    assert near_dedup.drop_near_copies(no_docs).count() == 0
+
+
+def near_brute(rows):
+    """Rows with the same doc_id are one document; rows without one follow their text."""
+    sets = [brute.shingles(r[1]) for r in rows]
+    same_id = lambda i, j: rows[i][0] is not None and rows[i][0] == rows[j][0] and sets[i] and sets[j]
+    roots = brute.components(
+        len(rows),
+        lambda i, j: sets[i] == sets[j] != set()
+        or (same_id(i, j) or brute.similar(sets[i], sets[j])) and None not in (rows[i][0], rows[j][0]),
+    )
+    low = {}
+    for (doc_id, *_), root in zip(rows, roots):
+        if doc_id is not None:
+            low[root] = min(low.get(root, doc_id), doc_id)
+    found = [
+        (r[0], len(s), r[0] if not s else low.get(root)) for r, s, root in zip(rows, sets, roots)
+    ]
+    return sorted([(*f, f[0] == f[2]) for f in found], key=repr)
+
+
+NEAR = ("doc_id", "n_shingles", "component_id", "kept")
+
+
+def test_near_copies_match_brute_force(docs, rows):
+    assert by_row(near_dedup.components(docs), *NEAR) == near_brute(rows)
+
+
+def family(rng, size):
+    """A text and edits of it, some within reach of each other only over a third."""
+    words = [f"w{rng.randrange(10**6)}" for _ in range(160)]
+    texts = []
+    for _ in range(size):
+        own = list(words)
+        for _ in range(rng.choice([0, 1, 1, 2, 2, 3, 5])):
+            own[rng.randrange(len(own))] = f"e{rng.randrange(10**6)}"
+        texts.append(" ".join(own))
+        if rng.random() < 0.3:
+            words = own
+    return texts
+
+
+def test_families_of_edits_lose_no_link(spark):
+    rng = random.Random(8)
+    texts = [t for _ in range(12) for t in family(rng, rng.choice([2, 5, 30]))]
+    rows = [(i * 7 % 1009, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = by_row(near_dedup.components(df), *NEAR)
+    assert got == near_brute(rows)
+    kept = {r[0] for r in got if r[3]}
+    assert {r.doc_id for r in near_dedup.drop_near_copies(df).collect()} == kept
+
+
+def test_large_star_is_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "STAR_ROWS", 3)
+    base = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(base[: 300 - i % 5] + [f"x{i}"])) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert by_row(near_dedup.components(df), *NEAR) == near_brute(rows)
+
+
+@pytest.mark.parametrize("similarity", [0.85, 0.9])
+def test_bands_find_similar_sets(similarity):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for size in (7, 20, 100, 2000):
+        missed = 0
+        for _ in range(60):
+            common = max(1, round(size * similarity / (2 - similarity) * 1.0001 * 1))
+            own = size - common
+            draw = rng.integers(0, 2**63, common + 2 * own, dtype=np.uint64) * np.uint64(2)
+            draw = near_dedup.mix(draw)
+            a, b = np.unique(draw[: common + own]), np.unique(np.append(draw[:common], draw[common + own :]))
+            if 100 * len(np.intersect1d(a, b)) < 85 * len(np.union1d(a, b)):
+                continue
+            keys = near_dedup.band_keys(np.array([near_dedup.signature(a), near_dedup.signature(b)]))
+            missed += not (keys[0] == keys[1]).any()
+        assert not missed
+
+
+def test_components_of_paths_stars_and_nothing(spark):
+    path = [(i, i + 1) for i in range(100, 140)]
+    star = [(7, i) for i in range(200, 260)]
+    odd = [(5, 5), (None, 3), (9, 8), (8, 9), (9, 8)]
+    links = spark.createDataFrame(path + star + odd, "a long, b long").repartition(3)
+    got = {r.node: r.root for r in connected(links).collect()}
+    assert got == {**{i: 100 for i in range(101, 141)}, **{i: 7 for i in range(200, 260)}, 9: 8}
+    assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
