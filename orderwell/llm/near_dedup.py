@@ -9,9 +9,10 @@ similarity 0.85 miss every band with a probability under one in a million.
 
 Documents with the same set of shingles are one class, and only classes are
 compared.  Within a bucket each class is paired with the smallest class alone (a
-star), which bounds pairs by rows.  Classes that a star leaves apart are paired with
-the next smallest class in another round, until every bucket is either one component
-or has had each member as centre, so no pair that shares a bucket stays unchecked.
+star), which bounds pairs by rows.  Where a bucket then still holds several
+components, members outside the largest one become centres in turn, a growing number
+each round, and meet the members of other components only, until no pair that shares
+a bucket is open.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from orderwell.llm.components import connected
 from orderwell.llm.keys import only_ids, without_ids
@@ -33,6 +35,8 @@ BINS, BAND_BINS = 256, 7
 BANDS = BINS // BAND_BINS
 PERCENT = 85
 STAR_ROWS = 50
+#: Further centres of a bucket in the first round after the star; then four times as many.
+FIRST_CENTRES = 16
 _BIN_SHIFT = np.uint64(64 - 8)
 #: Probe order for empty bins: row i holds the bins that bin i asks, in turn.
 _PROBES = np.random.default_rng(99).integers(0, BINS, (BINS, 512)).astype(np.int16)
@@ -164,38 +168,51 @@ def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
-def _pairs(buckets: DataFrame) -> DataFrame:
-    """Centre and partner; pairs whose sizes rule a link out are not worth reading."""
+def _pairs(rows: DataFrame) -> DataFrame:
+    """Two classes of a row, once each; sizes that rule a link out need no reading."""
     small, large = F.least("n", "hub_n"), F.greatest("n", "hub_n")
     return (
-        buckets.filter((F.col("label") != F.col("hub")) & (small * 100 >= large * PERCENT))
-        .select("hub", "label")
+        rows.filter((F.col("label") != F.col("hub")) & (small * 100 >= large * PERCENT))
+        .select(F.least("hub", "label").alias("hub"), F.greatest("hub", "label").alias("label"))
         .distinct()
     )
 
 
-def _next_round(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Buckets that still hold several components beyond their last centre, with the
-    next smallest class as centre."""
-    left = stage(
-        buckets.filter("label > hub")
-        .select("key", "label", "n")
-        .join(roots.withColumnRenamed("node", "label"), "label", "left")
-        .select("key", "label", "n", F.coalesce("root", "label").alias("root")),
-        "left-apart",
+def _next_round(slots: DataFrame, roots: DataFrame, centres_each: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs still to be checked in buckets that hold several components, and the
+    slots of those buckets without the centres used up.
+
+    Centres are the first members outside a bucket's largest component: once each of
+    them has met every member of another component, no pair of the bucket is open.
+    """
+    placed = stage(
+        slots.join(roots.withColumnRenamed("node", "label"), "label", "left").select(
+            "key", "label", "n", F.coalesce("root", "label").alias("root")
+        ),
+        "slots-placed",
     )
+    apart = stage(
+        placed.groupBy("key", "root")
+        .agg(F.count("*").alias("held"))
+        .groupBy("key")
+        .agg(F.max(F.struct("held", "root")).alias("top"), F.count("*").alias("parts"))
+        .filter("parts > 1")
+        .select("key", F.col("top.root").alias("main")),
+        "buckets-apart",
+    )
+    held = stage(placed.join(apart, "key"), "slots-apart")
+    first = F.row_number().over(Window.partitionBy("key").orderBy("label"))
     centres = stage(
-        left.groupBy("key")
-        .agg(
-            F.min(F.struct("label", "n", "root")).alias("c"),
-            F.min("root").alias("lo"),
-            F.max("root").alias("hi"),
-        )
-        .filter("lo < hi")
-        .select("key", F.col("c.label").alias("hub"), F.col("c.n").alias("hub_n"), F.col("c.root").alias("hub_root")),
+        held.filter("root <> main")
+        .withColumn("place", first)
+        .filter(F.col("place") <= centres_each)
+        .select("key", F.col("label").alias("hub"), F.col("n").alias("hub_n"), F.col("root").alias("hub_root")),
         "centres",
     )
-    return stage(left.join(centres, "key"), "buckets")
+    pairs = _pairs(held.join(centres, "key").filter("root <> hub_root"))
+    used = centres.select("key", F.col("hub").alias("label"))
+    left = held.select("key", "label", "n").join(used, ["key", "label"], "left_anti")
+    return pairs, stage(left, "slots-left")
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -227,17 +244,22 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .select("key", F.col("c.label").alias("hub"), F.col("c.n").alias("hub_n")),
         "shared-buckets",
     )
-    buckets = stage(slots.join(shared, "key"), "buckets")
-    tested = pairs = stage(_pairs(buckets), "pairs")
-    links = [stage(_confirm(pairs, docs), "confirmed")]
+    open_slots = stage(slots.join(shared, "key"), "slots")
+    tested = stage(_pairs(open_slots), "pairs")
+    links = [stage(_confirm(tested, docs), "confirmed")]
     roots = connected(links[0])
-    while not (buckets := _next_round(buckets, roots)).isEmpty():
-        fresh = _pairs(buckets.filter("root <> hub_root")).join(tested, ["hub", "label"], "left_anti")
-        pairs = stage(fresh, "pairs")
-        tested = tested.unionByName(pairs)
-        links.append(stage(_confirm(pairs, docs), "confirmed"))
-        if not links[-1].isEmpty():
-            roots = connected(reduce(DataFrame.unionByName, links))
+    centres_each = FIRST_CENTRES
+    while True:
+        fresh, open_slots = _next_round(open_slots.select("key", "label", "n"), roots, centres_each)
+        pairs = stage(fresh.join(tested, ["hub", "label"], "left_anti"), "pairs")
+        centres_each *= 4
+        if not pairs.isEmpty():
+            tested = tested.unionByName(pairs)
+            links.append(stage(_confirm(pairs, docs), "confirmed"))
+            if not links[-1].isEmpty():
+                roots = connected(reduce(DataFrame.unionByName, links))
+        elif open_slots.isEmpty():
+            break
     answers = stage(
         classes.select(*same, "label")
         .join(roots.withColumnRenamed("node", "label"), "label", "left")
