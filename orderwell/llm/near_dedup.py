@@ -35,11 +35,17 @@ BINS, BAND_BINS = 256, 7
 BANDS = BINS // BAND_BINS
 PERCENT = 85
 STAR_ROWS = 50
-#: Further centres of a bucket in the first round after the star; then four times as many.
-FIRST_CENTRES = 16
-_BIN_SHIFT = np.uint64(64 - 8)
+#: Further centres of a bucket in the first round after the star, and how many times
+#: as many in each round after it; members of a bucket that one task compares with them.
+FIRST_CENTRES, MORE_CENTRES = 64, 8
+PART_ROWS = 1000
+#: One byte for each of 1024 bin minima foretells a similarity; pairs that agree in
+#: fewer are compared no further.  At 0.85 that is over six standard deviations away.
+SKETCH_BINS, SKETCH_AGREE = 1024, 778
 #: Probe order for empty bins: row i holds the bins that bin i asks, in turn.
-_PROBES = np.random.default_rng(99).integers(0, BINS, (BINS, 512)).astype(np.int16)
+_PROBES = {
+    n: np.random.default_rng(99).integers(0, n, (n, 2 * n)).astype(np.int16) for n in (BINS, SKETCH_BINS)
+}
 _BAND_SEEDS = np.random.default_rng(5).integers(1, 2**63, (BANDS, BAND_BINS), dtype=np.uint64) | np.uint64(1)
 
 SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
@@ -48,20 +54,20 @@ SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long
 def _densify(bins: np.ndarray, filled: np.ndarray) -> np.ndarray:
     empty = np.flatnonzero(~filled)
     if len(empty):
-        hit = filled[_PROBES[empty]]
+        probes = _PROBES[len(bins)][empty]
+        hit = filled[probes]
         first = hit.argmax(axis=1)
-        donors = _PROBES[empty, first].astype(np.int64)
-        lost = ~hit[np.arange(len(empty)), first]
-        donors[lost] = np.flatnonzero(filled)[0]
+        donors = probes[np.arange(len(empty)), first].astype(np.int64)
+        donors[~hit[np.arange(len(empty)), first]] = np.flatnonzero(filled)[0]
         bins[empty] = bins[donors]
     return bins
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """256 bin minima of a sorted, non-empty set of hashes, empty bins filled."""
-    where = (shingles >> _BIN_SHIFT).astype(np.int64)
+def signature(shingles: np.ndarray, n_bins: int = BINS) -> np.ndarray:
+    """Bin minima of a sorted, non-empty set of hashes, empty bins filled."""
+    where = (shingles >> np.uint64(65 - n_bins.bit_length())).astype(np.int64)
     first = np.flatnonzero(np.diff(where, prepend=-1))
-    bins, filled = np.zeros(BINS, np.uint64), np.zeros(BINS, bool)
+    bins, filled = np.zeros(n_bins, np.uint64), np.zeros(n_bins, bool)
     bins[where[first]] = shingles[first]
     filled[where[first]] = True
     return _densify(bins, filled)
@@ -178,9 +184,11 @@ def _pairs(rows: DataFrame) -> DataFrame:
     )
 
 
-def _next_round(slots: DataFrame, roots: DataFrame, centres_each: int) -> tuple[DataFrame, DataFrame]:
+def _next_round(
+    slots: DataFrame, roots: DataFrame, docs: DataFrame, centres_each: int
+) -> tuple[DataFrame, DataFrame] | None:
     """Pairs still to be checked in buckets that hold several components, and the
-    slots of those buckets without the centres used up.
+    slots of those buckets without the centres used up; None if there are none.
 
     Centres are the first members outside a bucket's largest component: once each of
     them has met every member of another component, no pair of the bucket is open.
@@ -195,24 +203,92 @@ def _next_round(slots: DataFrame, roots: DataFrame, centres_each: int) -> tuple[
         placed.groupBy("key", "root")
         .agg(F.count("*").alias("held"))
         .groupBy("key")
-        .agg(F.max(F.struct("held", "root")).alias("top"), F.count("*").alias("parts"))
-        .filter("parts > 1")
-        .select("key", F.col("top.root").alias("main")),
+        .agg(F.max(F.struct("held", "root")).alias("top"), F.sum("held").alias("held"), F.count("*").alias("n"))
+        .filter("n > 1")
+        .select("key", F.col("top.root").alias("main"), F.ceil(F.col("held") / PART_ROWS).cast("int").alias("parts")),
         "buckets-apart",
     )
     held = stage(placed.join(apart, "key"), "slots-apart")
+    if held.isEmpty():
+        return None
     first = F.row_number().over(Window.partitionBy("key").orderBy("label"))
     centres = stage(
         held.filter("root <> main")
         .withColumn("place", first)
         .filter(F.col("place") <= centres_each)
-        .select("key", F.col("label").alias("hub"), F.col("n").alias("hub_n"), F.col("root").alias("hub_root")),
+        .select("key", "label"),
         "centres",
     )
-    pairs = _pairs(held.join(centres, "key").filter("root <> hub_root"))
-    used = centres.select("key", F.col("hub").alias("label"))
-    left = held.select("key", "label", "n").join(used, ["key", "label"], "left_anti")
-    return pairs, stage(left, "slots-left")
+    left = held.select("key", "label", "n").join(centres, ["key", "label"], "left_anti")
+    return _foretold(held, centres, docs), stage(left, "slots-left")
+
+
+def _foretold(held: DataFrame, centres: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs of a centre and a member of another component whose sketches agree.
+
+    A bucket's members are dealt out in parts of about ``PART_ROWS``, each with all
+    of this round's centres, and compared as blocks: only pairs worth confirming
+    become rows.
+    """
+    ends = stage(held.select(F.col("label").alias("doc_id")).distinct(), "members")
+    sketches = stage(
+        only_ids(docs, ends).mapInArrow(_small_sketch, "doc_id long, sketch binary").toDF("label", "sketch").filter("sketch is not null"),
+        "small-sketches",
+    )
+    members = held.select(
+        "key", F.pmod(F.xxhash64("label"), "parts").cast("int").alias("part"), F.lit(True).alias("member"),
+        "label", "n", "root",
+    )
+    hubs = held.join(centres, ["key", "label"]).select(
+        "key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("member"),
+        "label", "n", "root",
+    )
+    return (
+        members.unionByName(hubs)
+        .join(sketches, "label")
+        .repartition("key", "part")
+        .sortWithinPartitions("key", "part", "member")
+        .mapInArrow(_agreeing, "hub long, label long")
+        .distinct()
+    )
+
+
+def _small_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in blocks(batches, "text"):
+        sets = shingle_sets(*as_arrays(batch.column("text")))
+        small = [signature(s, SKETCH_BINS).astype(np.uint8).tobytes() if len(s) else None for s in sets]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(small, pa.binary())], names=["doc_id", "sketch"]
+        )
+
+
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key and part, centres before members."""
+    current, centres = None, None
+    for batch in batches:
+        key, part, member, label, n, root = (
+            batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "part", "member", "label", "n", "root")
+        )
+        sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH_BINS)
+        rows = label, n, root, sketches
+        fresh = np.flatnonzero((np.diff(key) != 0) | (np.diff(part) != 0)) + 1
+        bounds = [0, *fresh.tolist(), len(key)]
+        found = []
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            if (key[a], part[a]) != current:
+                current, centres = (key[a], part[a]), [c[:0] for c in rows]
+            first_member = a + int((~member[a:b].astype(bool)).sum())
+            centres = [np.concatenate([old, c[a:first_member]]) for old, c in zip(centres, rows)]
+            hubs, hub_n, hub_root, hub_sketches = centres
+            for i in range(first_member, b):
+                small, large = np.minimum(hub_n, n[i]), np.maximum(hub_n, n[i])
+                may = np.flatnonzero((hub_root != root[i]) & (100 * small >= PERCENT * large))
+                agree = (hub_sketches[may] == sketches[i]).sum(axis=1)
+                for hub in hubs[may[agree >= SKETCH_AGREE]].tolist():
+                    found.append((min(hub, label[i]), max(hub, label[i])))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["hub", "label"]
+        )
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -249,17 +325,15 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     links = [stage(_confirm(tested, docs), "confirmed")]
     roots = connected(links[0])
     centres_each = FIRST_CENTRES
-    while True:
-        fresh, open_slots = _next_round(open_slots.select("key", "label", "n"), roots, centres_each)
+    while found := _next_round(open_slots.select("key", "label", "n"), roots, docs, centres_each):
+        fresh, open_slots = found
+        centres_each *= MORE_CENTRES
         pairs = stage(fresh.join(tested, ["hub", "label"], "left_anti"), "pairs")
-        centres_each *= 4
         if not pairs.isEmpty():
             tested = tested.unionByName(pairs)
             links.append(stage(_confirm(pairs, docs), "confirmed"))
             if not links[-1].isEmpty():
                 roots = connected(reduce(DataFrame.unionByName, links))
-        elif open_slots.isEmpty():
-            break
     answers = stage(
         classes.select(*same, "label")
         .join(roots.withColumnRenamed("node", "label"), "label", "left")
