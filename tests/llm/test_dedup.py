@@ -113,7 +113,7 @@ def test_bands_find_similar_sets(similarity):
     import numpy as np
 
     rng = np.random.default_rng(1)
-    for size in (7, 20, 100, 2000):
+    for size in (7, 20, 100, 700, 2000, 9000):
         missed = 0
         for _ in range(60):
             common = max(1, round(size * similarity / (2 - similarity) * 1.0001 * 1))
@@ -125,6 +125,8 @@ def test_bands_find_similar_sets(similarity):
                 continue
             keys = near_dedup.band_keys(np.array([near_dedup.signature(a), near_dedup.signature(b)]))
             missed += not (keys[0] == keys[1]).any()
+            small = [near_dedup.signature(x, near_dedup.SKETCH_BINS).astype(np.uint8) for x in (a, b)]
+            missed += (small[0] == small[1]).sum() < near_dedup.SKETCH_AGREE
         assert not missed
 
 
