@@ -21,10 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from orderwell.llm.text import blocks
-from orderwell.sources.tables import scratch_path, stage
+from orderwell.sources.tables import scratch_path
 
 SEGMENT_IDS = 1 << 19
-CACHE_WORDS = 300_000
+#: Words whose ids a worker remembers at most, and words encoded in one string.
+CACHE_WORDS, JOINED_WORDS = 700_000, 50
+#: Shards per shuffle partition, and shards at most.
+SHARDS_EACH, MAX_SHARDS = 4, 1 << 16
 SELECT_STEP = 256
 END_ID = 2
 
@@ -90,11 +93,11 @@ class WordEncoder:
     """Ids of whole texts by a tokenizers file.
 
     Where the tokenizer drops ASCII white space and never joins across it, each
-    distinct word of a block is encoded once and its ids are repeated; that is tried
-    out on the tokenizer itself, and any other file encodes text by text.
+    distinct word is encoded once and its ids are repeated; that is tried out on the
+    tokenizer itself, and any other file encodes text by text.
     """
 
-    _TRIAL = ["a b", "don't  stop\n'll", "x́ ́y 12 3", "\t<|x|> a b\r\nÉ!", "  "]
+    _TRIAL = ["a b", "don't  stop\n'll", "x́ ́y 12 3", "\t<|x|> a b\r\nÉ! İx", "  "]
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -102,20 +105,34 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self._forget()
         self.by_word = all(
-            self._encode([t])[0] == [i for w in self._encode(t.encode().split()) for i in w]
+            self._encode([t])[0] == [i for w in self._encode([w.decode() for w in t.encode().split()]) for i in w]
             for t in self._TRIAL
         )
-        self._forget()
 
     def _forget(self) -> None:
         self._place: dict[str, int] = {}
         self._flat, self._lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
-    def _encode(self, texts: list) -> list[list[int]]:
-        texts = [t.decode() if isinstance(t, bytes) else t for t in texts]
+    def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words, and how many each has: words are encoded some at a
+        time, and an id belongs to the word that its place in the string is in."""
+        groups = [words[i : i + JOINED_WORDS] for i in range(0, len(words), JOINED_WORDS)]
+        ids, counts = [], []
+        for group, found in zip(
+            groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
+        ):
+            own = np.array(found.ids, dtype=np.uint32)
+            at = np.fromiter((a for a, _ in found.offsets), np.int64, len(own))
+            ends = np.cumsum(np.fromiter(map(len, group), np.int64, len(group)) + 1)
+            ids.append(own)
+            counts.append(np.bincount(np.searchsorted(ends, at, side="right"), minlength=len(group)))
+        return np.concatenate(ids), np.concatenate(counts)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and how many each text has; null is empty."""
         texts = pc.fill_null(texts, "")
@@ -140,25 +157,36 @@ class WordEncoder:
         missing = [w for w in words if w not in self._place]
         if missing:
             self._place.update(zip(missing, range(len(self._place), len(self._place) + len(missing))))
-            ids = self._encode(missing)
-            lengths = np.array([len(i) for i in ids], dtype=np.int64)
-            flat = np.fromiter((i for word in ids for i in word), np.uint32, int(lengths.sum()))
+            flat, lengths = self._encode_words(missing)
             self._flat = np.concatenate([self._flat, flat])
             self._lengths = np.concatenate([self._lengths, lengths])
         return np.array([self._place[w] for w in words], dtype=np.int64)
 
 
+_encoders: dict[str, WordEncoder] = {}
+
+
+def _encoder(path: str) -> WordEncoder:
+    """One per worker, so the words it remembers serve its next tasks too."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
+
+
 def _joined(arrays: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(arrays) if arrays else np.zeros(0, np.uint32)
 
 
-def _encode_rows(tokenizer_path: str, end_id: int, width: int):
-    """Documents as rows of at most ``SEGMENT_IDS`` ids: doc_id, row, piece, ids."""
+def _encode_rows(tokenizer_path: str, end_id: int, width: int, bounds: np.ndarray):
+    """Documents as rows of at most ``SEGMENT_IDS`` ids: shard, doc_id, row, piece, ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer_path)
+        encoder = _encoder(tokenizer_path)
         for batch in blocks(batches, "text"):
             ids, counts = encoder.encode(batch.column("text"))
+            doc_ids = batch.column("doc_id")
+            shards = np.searchsorted(bounds, doc_ids.fill_null(0).to_numpy(), side="right") + 1
+            shards[doc_ids.is_null().to_numpy(zero_copy_only=False)] = 0
             ends = np.cumsum(counts)
             doc, piece, held = [], [], []
             for i, (first, last) in enumerate(zip((ends - counts).tolist(), ends.tolist())):
@@ -169,12 +197,13 @@ def _encode_rows(tokenizer_path: str, end_id: int, width: int):
                     held.append(own[at : at + SEGMENT_IDS].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(pa.array(doc, pa.int32())),
+                    pa.array(shards[doc].astype(np.int32)),
+                    doc_ids.take(pa.array(doc, pa.int32())),
                     batch.column("row").take(pa.array(doc, pa.int32())),
                     pa.array(piece, pa.int32()),
                     pa.array(held, pa.binary()),
                 ],
-                names=["doc_id", "row", "piece", "ids"],
+                names=["shard", "doc_id", "row", "piece", "ids"],
             )
 
     return run
@@ -238,7 +267,9 @@ def _build(width: int):
         for batch in batches:
             rows = zip(*(batch.column(c) for c in ("shard", "doc_id", "piece", "ids")))
             for shard, doc_id, piece, ids in rows:
-                if writer is None:
+                if writer is None or writer.shard != shard.as_py():
+                    if writer is not None and writer.total:
+                        yield pa.RecordBatch.from_pylist([writer.segment()], schema=schema)
                     writer = _SegmentWriter(shard.as_py(), width)
                 writer.add(doc_id.as_py(), piece.as_py(), ids.as_py())
                 if writer.total >= SEGMENT_IDS:
@@ -249,6 +280,16 @@ def _build(width: int):
     return run
 
 
+def _shard_bounds(rows: DataFrame) -> np.ndarray:
+    """Ids that begin a shard, ascending: quantiles, so shards hold about as many
+    documents each.  Reads ids only; the driver gets one number per shard."""
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = min(MAX_SHARDS, SHARDS_EACH * partitions)
+    shares = [i / n for i in range(1, n)]
+    found = rows.agg(F.percentile_approx("doc_id", shares, 4 * n)).first()[0]
+    return np.unique(np.array(found or [], dtype=np.int64))
+
+
 def write(
     docs: DataFrame,
     path: str,
@@ -266,20 +307,16 @@ def write(
     """
     spark = docs.sparkSession
     width = 2 if WordEncoder(tokenizer_path).tokenizer.get_vocab_size() <= 1 << 16 else 4
-    encoded = stage(
-        docs.select(
-            F.col(id_col).cast("long").alias("doc_id"),
-            F.col(text_col).alias("text"),
-            F.monotonically_increasing_id().alias("row"),
-        ).mapInArrow(
-            _encode_rows(tokenizer_path, end_id, width), "doc_id long, row long, piece int, ids binary"
-        ),
-        "encoded",
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).alias("text"),
+        F.monotonically_increasing_id().alias("row"),
     )
+    encode = _encode_rows(tokenizer_path, end_id, width, _shard_bounds(rows))
     (
-        encoded.repartitionByRange("doc_id", "row")
-        .sortWithinPartitions("doc_id", "row", "piece")
-        .withColumn("shard", F.spark_partition_id())
+        rows.mapInArrow(encode, "shard int, doc_id long, row long, piece int, ids binary")
+        .repartition("shard")
+        .sortWithinPartitions("shard", "doc_id", "row", "piece")
         .mapInArrow(_build(width), SEGMENT)
         .write.mode("overwrite")
         .parquet(f"{path}/segments")
@@ -297,7 +334,7 @@ def write(
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document of each segment: where its ids begin, how many, their CRC-32."""
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
             bounds = EliasFano(len(row["doc_ids"]), row["low_bits"], row["low"], row["high"])
             ends = bounds.all()
             starts = np.concatenate([[0], ends[:-1]])
@@ -394,7 +431,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 bounds = EliasFano(len(row["doc_ids"]), row["low_bits"], row["low"], row["high"])
                 ids = np.frombuffer(row["ids"], f"<u{row['width']}").astype(np.int64)
                 ends = [bounds.select(i) for i in range(bounds.n)]
