@@ -84,7 +84,7 @@ def targets(
         share = F.lit(per_weight) * F.col("weight")
         above = full | (share > most)
         if not sources.filter(above & ~full).isEmpty():
-            sources = stage(sources.drop("full").withColumn("full", above), "sources")
+            sources = stage(sources.withColumn("full", above), "sources")
             full = F.col("full")
             continue
         target = F.when(full, most.cast("double")).otherwise(share)
