@@ -28,8 +28,10 @@ from orderwell.sources.tables import stage
 
 #: Words that are symbols of their own; ids of symbols fit two bytes.
 FREQUENT = 65_000
-STATES, PASSES = 6, 3
+STATES, PASSES = 8, 4
 SMOOTHING = 0.1
+#: Occurrences by which a word's share of the states is drawn to the overall share.
+SHRINKAGE = 2.0
 #: Tokens run through the recursions at a time, and text lengths that go together.
 BLOCK_TOKENS, LENGTH_CLASSES = 400_000, (256, 1024, 4096)
 END_HASH = np.uint64(0x1F3D5B79A2C4E6F8)
@@ -321,6 +323,17 @@ def _add(frame: pd.DataFrame) -> pd.DataFrame:
     return frame.iloc[:1].assign(counts=[total.astype(kind).tobytes()])
 
 
+def _emissions(expected: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Emission table from expected counts.  Which states a symbol belongs to is
+    drawn to the overall occupancy the more the rarer it is, and how often it comes
+    is its smoothed count, so every state can emit every symbol."""
+    occupancy = expected.sum(axis=0) / max(expected.sum(), 1e-300)
+    seen = expected.sum(axis=1, keepdims=True)
+    belongs = (expected + SHRINKAGE * occupancy) / (seen + SHRINKAGE)
+    emitted = counts[:, None] * np.maximum(belongs, 1e-12)
+    return emitted / emitted.sum(axis=0)
+
+
 def train(sequences: DataFrame, counts: np.ndarray, states: int = STATES, passes: int = PASSES) -> Markov:
     """Baum-Welch over all rows of a stored table of symbol sequences.
 
@@ -330,7 +343,6 @@ def train(sequences: DataFrame, counts: np.ndarray, states: int = STATES, passes
     """
     spark = sequences.sparkSession
     model = first_model(counts, states)
-    prior = (counts / counts.sum())[:, None]
     schema = "part int, part_group int, counts binary"
     for _ in range(passes):
         sent = spark.sparkContext.broadcast(model)
@@ -352,9 +364,8 @@ def train(sequences: DataFrame, counts: np.ndarray, states: int = STATES, passes
         emissions = np.concatenate(
             [np.frombuffer(c, "<f4").reshape(-1, states) for c in gathered["counts"].iloc[1:]]
         ).astype(np.float64)
-        emissions += prior * 10.0
         model = Markov(
-            starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True), emissions / emissions.sum(axis=0)
+            starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True), _emissions(emissions, counts)
         )
     return model
 
