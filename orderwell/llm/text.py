@@ -22,6 +22,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTE_VALUES = np.random.default_rng(20240501).integers(1, 2**63, 256, dtype=np.uint64)[_LOWER]
+_EXACT_VALUES = np.random.default_rng(31).integers(1, 2**63, (2, 256), dtype=np.uint64)
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _SHINGLE_FACTORS = np.random.default_rng(7).integers(1, 2**63, SHINGLE_WORDS + 1, dtype=np.uint64) | np.uint64(1)
 
@@ -79,6 +80,18 @@ def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
+def exact_hashes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each whole string, case and all."""
+    data, offsets = as_arrays(strings)
+    up, down = _powers_to(len(data) + 1)
+    found = []
+    for values in _EXACT_VALUES:
+        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(values[data] * up[: len(data)], out=sums[1:])
+        found.append(mix((sums[offsets[1:]] - sums[offsets[:-1]]) * down[offsets[:-1]]))
+    return found[0], found[1]
+
+
 def _hash_piece(data: np.ndarray, doc_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and first byte of each word of ``data``; no word crosses ``doc_starts``."""
     inside = ~_SPACE[data]

@@ -12,6 +12,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orderwell.llm.text import blocks
-from orderwell.sources.tables import scratch_path
+from orderwell.llm.text import blocks, exact_hashes
+from orderwell.sources.tables import scratch_path, stage
 
 SEGMENT_IDS = 1 << 19
 #: Words whose ids a worker remembers at most, and words encoded in one string.
-CACHE_WORDS, JOINED_WORDS = 700_000, 50
+CACHE_WORDS, JOINED_WORDS = 800_000, 50
+#: Words handed to the tokenizer at a time, which bounds what it holds besides.
+BATCH_WORDS = 10_000
 #: Shards per shuffle partition, and shards at most.
 SHARDS_EACH, MAX_SHARDS = 4, 1 << 16
 SELECT_STEP = 256
@@ -112,8 +115,10 @@ class WordEncoder:
         )
 
     def _forget(self) -> None:
-        self._place: dict[str, int] = {}
-        self._flat, self._lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        #: Two hashes of every remembered word, sorted by the first, and its place.
+        self._known = np.zeros((2, 0), np.uint64)
+        self._places = np.zeros(0, np.int32)
+        self._flat, self._ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -127,7 +132,7 @@ class WordEncoder:
             groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
         ):
             own = np.array(found.ids, dtype=np.uint32)
-            at = np.fromiter((a for a, _ in found.offsets), np.int64, len(own))
+            at = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(own))[::2]
             ends = np.cumsum(np.fromiter(map(len, group), np.int64, len(group)) + 1)
             ids.append(own)
             counts.append(np.bincount(np.searchsorted(ends, at, side="right"), minlength=len(group)))
@@ -142,25 +147,39 @@ class WordEncoder:
         words = pc.ascii_split_whitespace(texts)
         per_text = np.diff(words.offsets.to_numpy())
         coded = words.flatten().dictionary_encode()
-        place = self._places(coded.dictionary.to_pylist())
-        starts = np.cumsum(self._lengths) - self._lengths
+        place = self._remember(coded.dictionary)
         used = place[coded.indices.to_numpy()] if len(place) else np.zeros(0, np.int64)
-        sizes = self._lengths[used]
+        starts = self._ends[used]
+        sizes = self._ends[used + 1] - starts
         ends = np.cumsum(sizes)
-        taken = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[used] - (ends - sizes), sizes)
+        taken = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(per_text)])]
         return self._flat[taken], np.diff(bounds)
 
-    def _places(self, words: list[str]) -> np.ndarray:
-        if len(self._place) > CACHE_WORDS:
+    def _remember(self, words: pa.Array) -> np.ndarray:
+        """The places of distinct words, which are encoded if they are new."""
+        if len(self._places) > CACHE_WORDS:
             self._forget()
-        missing = [w for w in words if w not in self._place]
-        if missing:
-            self._place.update(zip(missing, range(len(self._place), len(self._place) + len(missing))))
-            flat, lengths = self._encode_words(missing)
-            self._flat = np.concatenate([self._flat, flat])
-            self._lengths = np.concatenate([self._lengths, lengths])
-        return np.array([self._place[w] for w in words], dtype=np.int64)
+        hashes = np.stack(exact_hashes(words))
+        at = np.searchsorted(self._known[0], hashes[0])
+        place = np.zeros(len(words), dtype=np.int64)
+        inside = np.flatnonzero(at < len(self._places))
+        inside = inside[(self._known[:, at[inside]] == hashes[:, inside]).all(axis=0)]
+        place[inside] = self._places[at[inside]]
+        new = np.ones(len(words), dtype=bool)
+        new[inside] = False
+        new = np.flatnonzero(new)
+        if len(new):
+            missing = words.take(pa.array(new)).to_pylist()
+            place[new] = len(self._ends) - 1 + np.arange(len(new))
+            parts = [self._encode_words(missing[i : i + BATCH_WORDS]) for i in range(0, len(missing), BATCH_WORDS)]
+            self._flat = np.concatenate([self._flat, *(p[0] for p in parts)])
+            ends = np.cumsum(np.concatenate([p[1] for p in parts])) + self._ends[-1]
+            self._ends = np.concatenate([self._ends, ends])
+            order = new[np.argsort(hashes[0, new], kind="stable")]
+            self._known = np.insert(self._known, at[order], hashes[:, order], axis=1)
+            self._places = np.insert(self._places, at[order], place[order])
+        return place
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -265,13 +284,13 @@ def _build(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = None
         for batch in batches:
-            rows = zip(*(batch.column(c) for c in ("shard", "doc_id", "piece", "ids")))
-            for shard, doc_id, piece, ids in rows:
-                if writer is None or writer.shard != shard.as_py():
+            numbers = [batch.column(c).to_pylist() for c in ("shard", "doc_id", "piece")]
+            for shard, doc_id, piece, ids in zip(*numbers, batch.column("ids")):
+                if writer is None or writer.shard != shard:
                     if writer is not None and writer.total:
                         yield pa.RecordBatch.from_pylist([writer.segment()], schema=schema)
-                    writer = _SegmentWriter(shard.as_py(), width)
-                writer.add(doc_id.as_py(), piece.as_py(), ids.as_py())
+                    writer = _SegmentWriter(shard, width)
+                writer.add(doc_id, piece, ids.as_py())
                 if writer.total >= SEGMENT_IDS:
                     yield pa.RecordBatch.from_pylist([writer.segment()], schema=schema)
         if writer is not None and writer.total:
@@ -400,10 +419,9 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     Every segment is read by itself, so files may be split anyhow; only the parts of
     documents at the edges of segments are brought together.
     """
-    pieces = spark.read.schema(SEGMENT).parquet(f"{path}/segments").mapInArrow(
-        _pieces,
-        "shard int, doc long, doc_id long, start long, n_tokens long, ids_crc32 long, edge boolean",
-    )
+    schema = "shard int, doc long, doc_id long, start long, n_tokens long, ids_crc32 long, edge boolean"
+    segments = spark.read.schema(SEGMENT).parquet(f"{path}/segments")
+    pieces = stage(segments.mapInArrow(_pieces, schema), "pieces")  # a few numbers per document
     whole = pieces.filter(~F.col("edge")).select("shard", "doc_id", "start", "n_tokens", "ids_crc32")
     edges = (
         pieces.filter("edge")
