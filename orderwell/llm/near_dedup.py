@@ -234,7 +234,9 @@ def _foretold(held: DataFrame, centres: DataFrame, docs: DataFrame) -> DataFrame
     """
     ends = stage(held.select(F.col("label").alias("doc_id")).distinct(), "members")
     sketches = stage(
-        only_ids(docs, ends).mapInArrow(_small_sketch, "doc_id long, sketch binary").toDF("label", "sketch").filter("sketch is not null"),
+        only_ids(docs, ends)
+        .mapInArrow(_small_sketch, "label long, sketch binary, homes binary")
+        .filter("sketch is not null"),
         "small-sketches",
     )
     members = held.select(
@@ -256,41 +258,50 @@ def _foretold(held: DataFrame, centres: DataFrame, docs: DataFrame) -> DataFrame
 
 
 def _small_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per document a byte for each bin of a finer signature, and its bucket keys."""
     for batch in blocks(batches, "text"):
         sets = shingle_sets(*as_arrays(batch.column("text")))
         small = [signature(s, SKETCH_BINS).astype(np.uint8).tobytes() if len(s) else None for s in sets]
+        homes = [band_keys(signature(s)[None]).tobytes() if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(small, pa.binary())], names=["doc_id", "sketch"]
+            [batch.column("doc_id"), pa.array(small, pa.binary()), pa.array(homes, pa.binary())],
+            names=["label", "sketch", "homes"],
         )
 
 
+def _bytes(column: pa.Array, kind, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
+
+
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key and part, centres before members."""
+    """Rows sorted by key and part, centres before members.  A pair that shares
+    several buckets is told of in the first of them only."""
     current, centres = None, None
     for batch in batches:
         key, part, member, label, n, root = (
             batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "part", "member", "label", "n", "root")
         )
-        sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH_BINS)
-        rows = label, n, root, sketches
+        sketches = _bytes(batch.column("sketch"), np.uint8, SKETCH_BINS)
+        homes = _bytes(batch.column("homes"), np.int64, BANDS)
+        rows = label, n, root, sketches, homes
         fresh = np.flatnonzero((np.diff(key) != 0) | (np.diff(part) != 0)) + 1
         bounds = [0, *fresh.tolist(), len(key)]
-        found = []
+        found = [np.zeros((2, 0), np.int64)]
         for a, b in zip(bounds[:-1], bounds[1:]):
             if (key[a], part[a]) != current:
                 current, centres = (key[a], part[a]), [c[:0] for c in rows]
             first_member = a + int((~member[a:b].astype(bool)).sum())
             centres = [np.concatenate([old, c[a:first_member]]) for old, c in zip(centres, rows)]
-            hubs, hub_n, hub_root, hub_sketches = centres
+            hubs, hub_n, hub_root, hub_sketches, hub_homes = centres
             for i in range(first_member, b):
                 small, large = np.minimum(hub_n, n[i]), np.maximum(hub_n, n[i])
                 may = np.flatnonzero((hub_root != root[i]) & (100 * small >= PERCENT * large))
-                agree = (hub_sketches[may] == sketches[i]).sum(axis=1)
-                for hub in hubs[may[agree >= SKETCH_AGREE]].tolist():
-                    found.append((min(hub, label[i]), max(hub, label[i])))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["hub", "label"]
-        )
+                may = may[(hub_sketches[may] == sketches[i]).sum(axis=1) >= SKETCH_AGREE]
+                if len(may):
+                    may = may[homes[i][(hub_homes[may] == homes[i]).argmax(axis=1)] == key[a]]
+                    found.append(np.stack([np.minimum(hubs[may], label[i]), np.maximum(hubs[may], label[i])]))
+        pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["hub", "label"])
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
