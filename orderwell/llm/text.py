@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 SHINGLE_WORDS = 5
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -113,7 +113,7 @@ def _hash_piece(data: np.ndarray, doc_starts: np.ndarray) -> tuple[np.ndarray, n
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash per word of every text in order, and the word count per text.
 
-    Works through pieces of a few MB cut at white space, so a huge text costs eight
+    Works through pieces of about a MB cut at white space, so a huge text costs eight
     bytes a word and not eight bytes a byte.
     """
     hashes, firsts, at = [], [], 0

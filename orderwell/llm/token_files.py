@@ -27,6 +27,8 @@ from orderwell.sources.tables import scratch_path, stage
 SEGMENT_IDS = 1 << 19
 #: Words whose ids a worker remembers at most, and words encoded in one string.
 CACHE_WORDS, JOINED_WORDS = 800_000, 50
+#: Text whose distinct words are looked up together.
+BLOCK_BYTES = 4 << 20
 #: Words handed to the tokenizer at a time, which bounds what it holds besides.
 BATCH_WORDS = 10_000
 #: Shards per shuffle partition, and shards at most.
@@ -201,7 +203,7 @@ def _encode_rows(tokenizer_path: str, end_id: int, width: int, bounds: np.ndarra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_path)
-        for batch in blocks(batches, "text"):
+        for batch in blocks(batches, "text", BLOCK_BYTES):
             ids, counts = encoder.encode(batch.column("text"))
             doc_ids = batch.column("doc_id")
             shards = np.searchsorted(bounds, doc_ids.fill_null(0).to_numpy(), side="right") + 1
