@@ -37,7 +37,7 @@ PERCENT = 85
 STAR_ROWS = 50
 #: Further centres of a bucket in the first round after the star, and how many times
 #: as many in each round after it; members of a bucket that one task compares with them.
-FIRST_CENTRES, MORE_CENTRES = 64, 8
+FIRST_CENTRES, MORE_CENTRES = 512, 8
 PART_ROWS = 1000
 #: One byte for each of 2048 bin minima foretells a similarity; pairs that agree in
 #: fewer are compared no further.  At 0.85 that is over six standard deviations away.
