@@ -74,7 +74,7 @@ WITH RECURSIVE words AS (
   UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
 )
 SELECT doc_id, n_shingles, min(b) AS component_id, doc_id = min(b) AS kept
-FROM sizes JOIN reached ON a = doc_id GROUP BY ALL
+FROM sizes JOIN reached ON a = doc_id GROUP BY doc_id, n_shingles
 """
 
 LINE_DEDUP = f"""
