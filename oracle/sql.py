@@ -175,9 +175,13 @@ def on_batches(*final: str) -> str:
     return chain(*BATCHES, *final)
 
 
-CHANGE = """order_id, customer_id, category, CAST(order_date AS VARCHAR) AS order_date,
+CHANGE = """order_id, product_id, quantity, CAST(order_date AS VARCHAR) AS order_date,
   CAST(total_order_value AS DOUBLE) AS total_order_value, version"""
 
+#: Stored loads keep the second load's values, which ``clean1`` doubles.
+STORED = """order_id, product_id, quantity, CAST(order_date AS VARCHAR) AS order_date,
+  CAST(total_order_value AS DOUBLE) / (1 + version) AS total_order_value"""
+
 SILVER = """order_id, customer_id, product_id, product_name, category, quantity,
   CAST(unit_price AS DOUBLE) AS unit_price, CAST(discount_pct AS DOUBLE) AS discount_pct,
   CAST(order_date AS VARCHAR) AS order_date, order_year, order_month, order_day,
@@ -197,12 +201,16 @@ def mean(total: str, count: str) -> str:
 
 
 def summary(*by: str) -> str:
+    return on_clean(monthly(*by))
+
+
+def monthly(*by: str) -> str:
     groups = ", ".join(["order_year", "order_month", *by])
-    return on_clean(f"""
+    return f"""
 SELECT {groups}, CAST(sum(total_order_value) AS DOUBLE) AS total_revenue,
   count(order_id) AS total_orders, count(DISTINCT customer_id) AS unique_customers,
   {mean('sum(total_order_value)', 'count(order_id)')} AS avg_order_value
-FROM clean WHERE order_date IS NOT NULL GROUP BY {groups}""")
+FROM clean WHERE order_date IS NOT NULL GROUP BY {groups}"""
 
 
 def dim(source: str, name: str, key: str, attributes: str, known: str) -> str:
@@ -458,13 +466,13 @@ SELECT customer_id, d.store_region, {REVENUE}
 FROM clean JOIN dim_customer d USING (customer_id)
 GROUP BY customer_id, d.store_region
 ORDER BY sum(total_order_value) DESC, customer_id LIMIT 10"""),
-    "upsert_initial": on_batches(f"SELECT {CHANGE} FROM clean0"),
+    "upsert_initial": on_clean(f"SELECT {CHANGE} FROM (SELECT *, 0 AS version FROM clean)"),
     "upsert_orders": on_batches(MERGED, f"SELECT {CHANGE} FROM merged"),
     "upsert_newer": on_batches(f"""
 SELECT {CHANGE} FROM (
   SELECT coalesce(b.order_id, a.order_id) AS order_id,
-    CASE WHEN old_wins THEN a.customer_id ELSE b.customer_id END AS customer_id,
-    CASE WHEN old_wins THEN a.category ELSE b.category END AS category,
+    CASE WHEN old_wins THEN a.product_id ELSE b.product_id END AS product_id,
+    CASE WHEN old_wins THEN a.quantity ELSE b.quantity END AS quantity,
     CASE WHEN old_wins THEN a.order_date ELSE b.order_date END AS order_date,
     CASE WHEN old_wins THEN a.total_order_value ELSE b.total_order_value END AS total_order_value,
     CASE WHEN old_wins THEN 0 ELSE 1 END AS version
@@ -489,7 +497,22 @@ FROM (
   FROM clean1)
 GROUP BY version, op"""),
     "preview_top_n": on_clean("""
-SELECT order_id, customer_id, category, CAST(order_date AS VARCHAR) AS order_date,
-  CAST(total_order_value AS DOUBLE) AS total_order_value, store_region
+SELECT order_id, product_id, product_name, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+  CAST(order_date AS VARCHAR) AS order_date
 FROM clean ORDER BY order_id LIMIT 10"""),
+    "warehouse_silver": on_batches(MERGED, f"SELECT {STORED} FROM merged"),
+    "warehouse_as_of": on_batches(f"SELECT {STORED} FROM clean0"),
+    "warehouse_history": on_batches("""
+SELECT version, op, count(*) AS rows
+FROM (
+  SELECT version, 'insert' AS op FROM clean0
+  UNION ALL
+  SELECT version, CASE WHEN order_id IN (SELECT order_id FROM clean0) THEN 'update' ELSE 'insert' END
+  FROM clean1)
+GROUP BY version, op"""),
+    "warehouse_gold_monthly": on_batches(
+        MERGED,
+        "\nclean AS (SELECT * REPLACE (CAST(total_order_value / (1 + version) AS DECIMAL(12,2)) AS total_order_value) FROM merged)",
+        monthly("category"),
+    ),
 }

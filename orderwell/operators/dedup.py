@@ -20,14 +20,15 @@ def first_arrival(
 ) -> DataFrame:
     """One row per key: the one that arrived first.
 
-    ``arrival`` must order the copies of a key totally.  Rows with a missing key
+    ``arrival``, as far as ``df`` has the columns, must order the copies of a key
+    totally.  Rows with a missing key
     are left out *before* the shuffle; they are not copies of each other, and
     hashing them would pile them into one task.
 
     ``rn = 1`` makes Spark keep one row per key inside every map task before the
     exchange, so a key with a billion copies ships at most one row per task.
     """
-    copies = Window.partitionBy(*keys).orderBy(*arrival)
+    copies = Window.partitionBy(*keys).orderBy(*[c for c in arrival if c in df.columns])
     return (
         with_keys(df, keys)
         .withColumn("_rn", F.row_number().over(copies))

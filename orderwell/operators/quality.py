@@ -38,10 +38,21 @@ def _any_missing(columns: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
 
 
-def order_rules() -> list[Rule]:
-    """Rules over a standardised order row (clean columns beside ``raw_*``)."""
+def order_rules(from_lines: bool = False) -> list[Rule]:
+    """Rules over a standardised order row (clean columns beside ``raw_*``).
+
+    ``from_lines``: the feed says which lines did not fit their header.  Values of a
+    line with too many, or cut by a stray quote, stand in the wrong columns; a short
+    line only lacks its last ones.
+    """
     quantity, price, given = F.col("quantity"), F.col("unit_price"), F.col("price_given")
+    shifted = F.col("malformed").isin("too_many_values", "unbalanced_quotes")
+    lines = [
+        Rule("row_malformed", "critical", shifted),
+        Rule("row_short", "note", F.col("malformed") == "too_few_values"),
+    ]
     return [
+        *(lines if from_lines else []),
         Rule("order_id_missing", "critical", F.col("order_id").isNull()),
         Rule("customer_id_missing", "critical", F.col("customer_id").isNull()),
         Rule("unit_price_missing", "critical", _missing("unit_price")),
@@ -61,6 +72,10 @@ def order_rules() -> list[Rule]:
             "note",
             ~_missing("discount_pct") & F.col(raw_name("discount_pct")).try_cast(DISCOUNT_PCT).isNull(),
         ),
+        Rule("unit_price_rounds_to_zero", "note", (given > 0) & (price == 0)),
+        Rule(
+            "order_value_negative", "note", (quantity > 0) & (price > 0) & (F.col("total_order_value") < 0)
+        ),
     ]
 
 
@@ -73,7 +88,7 @@ def broken(rules: list[Rule], strength: str) -> Column:
 def assess(standardised: DataFrame) -> DataFrame:
     """Adds ``outcome`` (clean, return or rejected) and ``reasons``; the text as
     landed stays, under ``raw``, only beside a reason."""
-    rules = order_rules()
+    rules = order_rules("malformed" in standardised.columns)
     outcome = (
         F.when(broken(rules, "critical"), F.lit(REJECTED))
         .when(F.col("quantity") < 0, F.lit(RETURN))

@@ -35,13 +35,20 @@ def raw_name(column: str) -> str:
     return f"raw_{column}"
 
 
-# Added on landing: load time, file of origin, position within the load.
-AUDIT_COLUMNS = ["ingestion_ts", "source_file", "src_seq"]
+# Added on landing: load time, number of the delivery within the load, the file
+# with its time of modification, first byte of the block read, position in it.
+AUDIT_COLUMNS = ["ingestion_ts", "delivery", "file_time", "source_file", "src_block", "src_seq"]
 
-# First arrival = smallest load time, then smallest position.  The pair is a
-# total order over the copies of one order, so the survivor never depends on
-# how Spark happened to lay out the data.
-ARRIVAL = ["ingestion_ts", "src_seq"]
+# What every feed has of them, those that come as tables too.
+BASE_ARRIVAL = ["ingestion_ts", "src_seq"]
+
+# First arrival = smallest by these columns in turn, as far as a feed has them.
+# Together they order all landed rows totally: neither the order of paths, nor
+# the sizes of files, nor how Spark splits them can change the survivor.
+ARRIVAL = AUDIT_COLUMNS
+
+# Beside a line that does not fit its header: the line as it was, and why.
+LINE_COLUMNS = ["raw_line", "malformed"]
 
 QUANTITY = IntegerType()
 UNIT_PRICE = DecimalType(10, 2)
@@ -79,6 +86,7 @@ SILVER_SCHEMA = StructType(
 SILVER_COLUMNS = SILVER_SCHEMA.names
 SILVER_PARTITIONS = ["order_year", "order_month"]
 
+# The fact table's columns in order.
 FACT_COLUMNS = [
     "order_id",
     "customer_id",
@@ -93,7 +101,7 @@ FACT_COLUMNS = [
     "status",
 ]
 
-# The five raw entity feeds: natural key first.  Each also carries AUDIT_COLUMNS
+# The five raw entity feeds, natural key first.  Each also carries AUDIT_COLUMNS
 # as far as its source provides them.
 ENTITY_FEEDS = {
     "transactions": [

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderwell.operators.dedup import first_arrival
-from orderwell.schema import ARRIVAL, ENTITY_FEEDS, ORDER_COLUMNS
+from orderwell.schema import BASE_ARRIVAL, ENTITY_FEEDS, ORDER_COLUMNS
 from orderwell.sources.tables import stage
 
 
@@ -20,7 +20,7 @@ def _lookup(feeds: Mapping[str, DataFrame], name: str) -> DataFrame:
     is already laid out by the key would stand in the way.
     """
     columns = ENTITY_FEEDS[name]
-    return stage(first_arrival(feeds[name], [columns[0]], ARRIVAL).select(*columns), name)
+    return stage(first_arrival(feeds[name], [columns[0]], BASE_ARRIVAL).select(*columns), name)
 
 
 def join_entities(feeds: Mapping[str, DataFrame]) -> DataFrame:
@@ -55,5 +55,5 @@ def join_entities(feeds: Mapping[str, DataFrame]) -> DataFrame:
                 "status": F.coalesce("status", "paid_status"),
             }
         )
-        .select(*ORDER_COLUMNS, *ARRIVAL)
+        .select(*ORDER_COLUMNS, *BASE_ARRIVAL)
     )

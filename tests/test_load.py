@@ -1,3 +1,4 @@
+import os
 from collections import Counter
 
 import feed
@@ -5,7 +6,7 @@ import pytest
 
 from orderwell.plans.retail import rebuild_silver, run, silver_as_of, silver_history
 from orderwell.plans.silver import to_silver
-from orderwell.schema import ORDER_COLUMNS
+from orderwell.schema import AUDIT_COLUMNS, LINE_COLUMNS, ORDER_COLUMNS
 from orderwell.sources.feeds import read_delivery, read_orders, write_delivery
 from orderwell.sources.tables import scratch_path
 from orderwell.streaming.arrivals import load_arrivals
@@ -28,7 +29,7 @@ def test_landing_keeps_every_row_as_text(spark, tmp_path):
     path = str(tmp_path / "orders.csv")
     feed.write_csv(path, ROWS)
     bronze = read_orders(spark, path, AT)
-    assert set(bronze.columns) == {*ORDER_COLUMNS, "ingestion_ts", "source_file", "src_seq"}
+    assert bronze.columns == [*ORDER_COLUMNS, *AUDIT_COLUMNS, *LINE_COLUMNS]
     assert texts(bronze) == expected_texts(ROWS)
     assert {r.source_file.endswith("orders.csv") for r in bronze.collect()} == {True}
     in_order = [r.order_id for r in bronze.orderBy("src_seq").collect()]
@@ -198,3 +199,97 @@ def test_a_header_alone_is_an_empty_load(spark, tmp_path):
     first, _ = expected_silver()
     assert silver_rows(spark.read.parquet(layout.table("silver"))) == brute_rows(first.values())
     assert silver_as_of(spark, layout, 0).count() == 0
+
+
+def write_lines(path, *lines):
+    path.write_text("\n".join([",".join(feed.HEADER), *lines]) + "\n")
+    return str(path)
+
+
+def test_lines_that_do_not_fit_are_kept_and_rejected(spark, tmp_path):
+    good = "G-1,C-1,P-1,Pan,Home,1,2.00,,2024-01-01,Coast,Cash,Completed"
+    long = "L-1,C-1,P-1,Pan, large,Home,1,2.00,,2024-01-01,Coast,Cash,Completed"
+    short = "S-1,C-1,P-1,Pan,Home,1,2.00"
+    stray = 'Q-1,C-1,P-1,"Pan,Home,1,2.00,,2024-01-01,Coast,Cash,Completed'
+    path = write_lines(tmp_path / "odd.csv", good, long, short, stray)
+    bronze = read_orders(spark, path, AT)
+    assert {r.order_id: (r.raw_line, r.malformed) for r in bronze.collect()} == {
+        "G-1": (None, None),
+        "L-1": (long, "too_many_values"),
+        "S-1": (short, "too_few_values"),
+        "Q-1": (stray, "unbalanced_quotes"),
+    }
+    three = to_silver(bronze)
+    assert {r.order_id for r in three.clean.collect()} == {"G-1", "S-1"}
+    reasons = {r.order_id: r.reasons for r in three.rejected.collect()}
+    assert reasons["L-1"][0] == reasons["Q-1"][0] == "row_malformed"
+
+
+def test_line_breaks_in_values(spark, tmp_path):
+    rows = [{**r, "product_name": 'two\nlines, and "more"'} for r in ROWS[:4]]
+    path = str(tmp_path / "breaks.csv")
+    feed.write_csv(path, rows)
+    assert texts(read_orders(spark, path, AT, multi_line=True)) == expected_texts(rows)
+    tails = [r for r in read_orders(spark, path, AT).collect() if r.malformed]
+    assert len(tails) >= len(rows) and all(r.raw_line for r in tails)
+
+
+@pytest.mark.parametrize("first_is_long", [True, False])
+def test_survivor_depends_on_neither_paths_sizes_nor_splits(spark, tmp_path, first_is_long):
+    def rows_of(name, n):
+        return [feed.row(f"O-{i % 7}", product_name=f"{name} {i}") for i in range(n)]
+
+    one, two = tmp_path / "one", tmp_path / "two"
+    for folder, sizes in ((one, (3, 90)), (two, (60, 5))):
+        folder.mkdir()
+        for number, n in enumerate(sizes if first_is_long else sizes[::-1]):
+            feed.write_csv(folder / f"{number}.csv", rows_of(f"{folder.name}-{number}", n))
+            os.utime(folder / f"{number}.csv", (1_700_000_000 + number, 1_700_000_000 + number))
+    found = []
+    for paths in ([str(one), str(two)], [str(two), str(one)]):
+        for split in ("128m", "700b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            try:
+                clean = to_silver(read_orders(spark, paths, AT)).clean.collect()
+            finally:
+                spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            found.append({r.order_id: r.product_name for r in clean})
+    assert all(f == found[0] for f in found)
+    assert set(found[0].values()) <= {f"one-0 {i}" for i in range(90)} | {f"one-1 {i}" for i in range(90)}
+
+
+def test_default_numbers_never_replace_a_load(spark, tmp_path):
+    out, names = str(tmp_path / "w"), []
+    for name in "abc":
+        names.append(str(tmp_path / f"{name}.csv"))
+        feed.write_csv(names[-1], [feed.row(f"{name}-1"), feed.row("same", product_name=name)])
+    for path in (names[0], names[1], names[1], names[0]):
+        layout = run(spark, path, out, loaded_at=AT)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    feed.write_csv(folder / "c.csv", [feed.row("c-1"), feed.row("same", product_name="c")])
+    load_arrivals(spark, str(folder), out, AT).awaitTermination()
+    for path in ("bronze", "ledger"):
+        assert {r.version for r in spark.read.parquet(layout.table(path)).select("version").distinct().collect()} == {0, 1, 2}
+    now = {r.order_id for r in spark.read.parquet(layout.table("silver")).collect()}
+    assert now == {"a-1", "b-1", "c-1", "same"}
+    assert {r.order_id for r in silver_as_of(spark, layout, 0).collect()} == {"a-1", "same"}
+    rebuild_silver(spark, layout)
+    assert {r.order_id for r in spark.read.parquet(layout.table("silver")).collect()} == now
+    with pytest.raises(ValueError, match="other sources"):
+        run(spark, names[2], out, version=0, loaded_at=AT)
+
+
+def test_one_merge_rule_everywhere(spark, tmp_path):
+    out = str(tmp_path / "w")
+    for n, (price, at) in enumerate([("5.00", "2024-01-03"), ("1.00", "2024-01-01"), ("2.00", "2024-01-02")]):
+        path = str(tmp_path / f"{n}.csv")
+        feed.write_csv(path, [feed.row("L-1", unit_price=price), feed.row(f"O-{n}")])
+        layout = run(spark, path, out, loaded_at=f"{at} 00:00:00", newer_by="ingestion_ts")
+    stored = silver_rows(spark.read.parquet(layout.table("silver")))
+    assert silver_rows(silver_as_of(spark, layout, 2)) == stored
+    assert {str(r.unit_price) for r in silver_as_of(spark, layout, 2).filter("order_id = 'L-1'").collect()} == {"5.00"}
+    rebuild_silver(spark, layout)
+    assert silver_rows(spark.read.parquet(layout.table("silver"))) == stored
+    with pytest.raises(ValueError, match="merges by"):
+        run(spark, path, out)
