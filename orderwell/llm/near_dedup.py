@@ -239,22 +239,22 @@ def _foretold(held: DataFrame, centres: DataFrame, docs: DataFrame) -> DataFrame
         .filter("sketch is not null"),
         "small-sketches",
     )
-    members = held.select(
-        "key", F.pmod(F.xxhash64("label"), "parts").cast("int").alias("part"), F.lit(True).alias("member"),
-        "label", "n", "root",
-    )
-    hubs = held.join(centres, ["key", "label"]).select(
-        "key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("member"),
-        "label", "n", "root",
-    )
+    own = F.pmod(F.xxhash64("label"), "parts").cast("int")
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
     return (
-        members.unionByName(hubs)
+        held.join(centres.withColumn("centre", F.lit(True)), ["key", "label"], "left")
+        .withColumn("centre", F.coalesce("centre", F.lit(False)))
         .join(sketches, "label")
+        .withColumns({"own": own, "part": F.explode(F.when(F.col("centre"), every).otherwise(F.array(own)))})
+        .select(
+            "key", "part", "centre", (F.col("part") == F.col("own")).alias("member"),
+            "label", "n", "root", "sketch", "homes",
+        )
         .repartition("key", "part")
-        .sortWithinPartitions("key", "part", "member")
+        .sortWithinPartitions("key", "part", F.desc("centre"), "label")
         .mapInArrow(_agreeing, "hub long, label long")
         .distinct()
-    )
+    )
 
 
 def _small_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,12 +274,14 @@ def _bytes(column: pa.Array, kind, width: int) -> np.ndarray:
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key and part, centres before members.  A pair that shares
-    several buckets is told of in the first of them only."""
+    """Rows sorted by key and part, centres first and by label.  A member meets the
+    centres so far: of two centres the larger meets the smaller where it is a member.
+    A pair that shares several buckets is told of in the first of them only."""
     current, centres = None, None
     for batch in batches:
-        key, part, member, label, n, root = (
-            batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "part", "member", "label", "n", "root")
+        key, part, centre, member, label, n, root = (
+            batch.column(c).to_numpy(zero_copy_only=False)
+            for c in ("key", "part", "centre", "member", "label", "n", "root")
         )
         sketches = _bytes(batch.column("sketch"), np.uint8, SKETCH_BINS)
         homes = _bytes(batch.column("homes"), np.int64, BANDS)
@@ -288,12 +290,16 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = [0, *fresh.tolist(), len(key)]
         found = [np.zeros((2, 0), np.int64)]
         for a, b in zip(bounds[:-1], bounds[1:]):
+            if a == b:
+                continue
             if (key[a], part[a]) != current:
                 current, centres = (key[a], part[a]), [c[:0] for c in rows]
-            first_member = a + int((~member[a:b].astype(bool)).sum())
-            centres = [np.concatenate([old, c[a:first_member]]) for old, c in zip(centres, rows)]
+            last_centre = a + int(centre[a:b].astype(bool).sum())
+            centres = [np.concatenate([old, c[a:last_centre]]) for old, c in zip(centres, rows)]
             hubs, hub_n, hub_root, hub_sketches, hub_homes = centres
-            for i in range(first_member, b):
+            for i in range(a, b):
+                if not member[i]:
+                    continue
                 small, large = np.minimum(hub_n, n[i]), np.maximum(hub_n, n[i])
                 may = np.flatnonzero((hub_root != root[i]) & (100 * small >= PERCENT * large))
                 may = may[(hub_sketches[may] == sketches[i]).sum(axis=1) >= SKETCH_AGREE]
