@@ -241,10 +241,16 @@ def _foretold(held: DataFrame, centres: DataFrame, docs: DataFrame) -> DataFrame
     )
     own = F.pmod(F.xxhash64("label"), "parts").cast("int")
     every = F.sequence(F.lit(0), F.col("parts") - 1)
-    return (
+    # A member is in 36 buckets at most: they meet its sketch as one row.
+    members = (
         held.join(centres.withColumn("centre", F.lit(True)), ["key", "label"], "left")
-        .withColumn("centre", F.coalesce("centre", F.lit(False)))
-        .join(sketches, "label")
+        .withColumn("slot", F.struct("key", "parts", F.coalesce("centre", F.lit(False)).alias("centre")))
+        .groupBy("label")
+        .agg(F.any_value("n").alias("n"), F.any_value("root").alias("root"), F.collect_list("slot").alias("slots"))
+    )
+    return (
+        members.join(sketches, "label")
+        .select("label", "n", "root", "sketch", "homes", F.inline("slots"))
         .withColumns({"own": own, "part": F.explode(F.when(F.col("centre"), every).otherwise(F.array(own)))})
         .select(
             "key", "part", "centre", (F.col("part") == F.col("own")).alias("member"),
