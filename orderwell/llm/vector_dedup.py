@@ -17,6 +17,7 @@ so nothing grows with the square of a group.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +30,13 @@ from orderwell.sources.tables import stage
 COSINE = 0.9
 #: Classes per shard aimed at, shards a class goes to, and centres made at a time.
 SHARD_ROWS, OVERLAP, MAX_CENTRES = 1500, 4, 1024
-#: Vectors that centres are fitted on at most, for all data and for one large shard.
+#: Vectors that centres are fitted on, about, on the driver in all and in one task.
 SAMPLE_ROWS = 20_000
 DEGREE, CANDIDATES, SLACK = 24, 48, 1.2
 BEAM, QUERIES = 32, 256
 AUDIT_ROWS, AUDIT_RECALL = 48, 0.99
-MAX_LEVELS = 4
+#: Large shards whose centres the driver fits; rows of a shard that one task deals.
+FEW_SHARDS, PART_ROWS = 64, 4096
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,76 +78,170 @@ def centres_of(sample: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
     return centres
 
 
-def _assign(centres: dict[str, np.ndarray], overlap: int):
-    """Rows of (shard, class, copies, unit) dealt to the nearest centres of their
-    shard, if it has any."""
+def _nearest(units: np.ndarray, centres: np.ndarray, near: int) -> np.ndarray:
+    return np.argsort(-(units @ centres.T), axis=1, kind="stable")[:, :near]
+
+
+def _dealt(table: pa.Table | pa.RecordBatch, index: np.ndarray, shards: list[str], ranks: np.ndarray):
+    taken = table.take(pa.array(index))
+    return type(table).from_arrays(
+        [pa.array(shards, pa.string()), pa.array(ranks, pa.int64()), *(taken.column(c) for c in ("class", "copies", "unit"))],
+        names=["shard", "rank", "class", "copies", "unit"],
+    )
+
+
+def _assign(centres, overlap: int):
+    """Rows of MEMBER dealt to the nearest of the broadcast centres of their shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = np.array(batch.column("shard").to_pylist(), dtype=object)
-            index, shards = [], []
+            ranks = batch.column("rank").to_numpy()
+            index, shards, places = [np.zeros(0, np.int64)], [], [np.zeros(0, np.int64)]
             for shard in set(names.tolist()):
                 own = np.flatnonzero(names == shard)
-                held = centres.value.get(shard)
-                if held is None:
-                    index.append(own)
-                    shards += [shard] * len(own)
-                    continue
-                units = _matrix(batch.column("unit").take(pa.array(own)))
-                near = min(overlap, len(held))
-                best = np.argsort(-(units @ held.T), axis=1, kind="stable")[:, :near]
+                best = _nearest(_matrix(batch.column("unit").take(pa.array(own))), centres.value[shard], overlap)
+                near = best.shape[1]
                 index.append(np.repeat(own, near))
+                places.append((ranks[own][:, None] * near + np.arange(near)).ravel())
                 shards += [f"{shard}.{b}" for b in best.ravel().tolist()]
-            taken = batch.take(pa.array(np.concatenate(index) if index else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shards, pa.string()), *(taken.column(c) for c in ("class", "copies", "unit"))],
-                names=["shard", "class", "copies", "unit"],
-            )
+            yield _dealt(batch, np.concatenate(index), shards, np.concatenate(places))
 
     return run
 
 
-MEMBER = "shard string, class long, copies long, unit array<double>"
+def _cut(overlap: int):
+    """A part of one shard's rows dealt to the nearest of that shard's centres."""
 
+    def run(own: pa.Table, centres: pa.Table) -> pa.Table:
+        units = _matrix(own.column("unit"))
+        held = centres.column("centres")[0].values.to_numpy().reshape(-1, units.shape[1])
+        best = _nearest(units, held, overlap)
+        near = best.shape[1]
+        shard = own.column("shard")[0].as_py()
+        ranks = (own.column("rank").to_numpy()[:, None] * near + np.arange(near)).ravel()
+        return _dealt(
+            own, np.repeat(np.arange(len(units)), near), [f"{shard}.{b}" for b in best.ravel().tolist()], ranks
+        )
+
+    return run
+
+
+def _fit(table: pa.Table) -> pa.Table:
+    table = table.sort_by("class")
+    centres = centres_of(_matrix(table.column("unit")), table.column("wanted")[0].as_py())
+    return pa.table(
+        {"shard": table.column("shard")[:1], "centres": pa.array([centres.ravel()], pa.list_(pa.float64()))}
+    )
+
+
+MEMBER = "shard string, rank long, class long, copies long, unit array<double>"
+
+
+def siblings(shard: str) -> list[str]:
+    """All parts of a shard that was dealt at random; another shard is alone."""
+    base, mark, parts = shard.rpartition("/")
+    return [f"{base.rpartition('.')[0]}.{i}/{parts}" for i in range(int(parts))] if mark else [shard]
 
-def shards(classes: DataFrame, shard_rows: int = SHARD_ROWS, overlap: int = OVERLAP) -> DataFrame:
-    """Classes (class, copies, unit) dealt to overlapping shards of bounded size.
 
-    Centres are fitted on about ``SAMPLE_ROWS`` vectors (a documented bound), for
-    the whole and again for the shards that are too large, at most ``MAX_CENTRES``
-    centres at a time; every class is dealt.  Vectors of different length never
-    share a shard.
+def _recut(members: DataFrame, large: DataFrame, shard_rows: int, overlap: int) -> DataFrame:
+    """The members of the shards in ``large``, dealt to centres of those shards.
+
+    A few large shards are fitted on the driver, from ``SAMPLE_ROWS`` vectors in all;
+    many are fitted by tasks, each from as many of one shard, and their centres are
+    joined, so neither grows with the number of shards.
     """
-    spark = classes.sparkSession
-    members = classes.select(F.concat(F.lit("d"), F.size("unit")).alias("shard"), "class", "copies", "unit")
-    for level in range(MAX_LEVELS):
-        members = stage(members, "members")
-        sizes = stage(members.groupBy("shard").agg(F.count("*").alias("held")), "shard-sizes")
-        large = sizes.filter(F.col("held") > 2 * shard_rows).orderBy(F.desc("held"), "shard")
-        found = large.limit(MAX_CENTRES // 2).toPandas()
-        if not len(found):
-            break
-        near = overlap if not level else 2
-        rate = (SAMPLE_ROWS / found["held"].sum()).clip(max=1.0)
-        rows = F.pmod(F.xxhash64("class"), F.lit(1 << 30)) < int(rate * (1 << 30))
+    spark = members.sparkSession
+    own = members.join(large, "shard")
+    drawn = F.pmod(F.xxhash64("class"), F.lit(1 << 30))
+    wanted = F.greatest(F.lit(8), F.ceil(F.col("held") * overlap / shard_rows))
+    few = large.limit(FEW_SHARDS + 1).toPandas()
+    if len(few) <= FEW_SHARDS:
         samples = (
-            members.join(F.broadcast(spark.createDataFrame(found[["shard"]])), "shard")
-            .filter(rows)
+            own.filter(drawn < int(min(1.0, SAMPLE_ROWS / max(1, few["held"].sum())) * (1 << 30)))
             .select("shard", "class", "unit")
-            .limit(2 * SAMPLE_ROWS)
             .toPandas()
             .sort_values(["shard", "class"])
         )
-        held = dict(zip(found["shard"], found["held"].tolist()))
-        wanted = {s: max(2, -(-near * n // shard_rows)) for s, n in held.items()}
-        shrink = min(1.0, MAX_CENTRES / sum(wanted.values()))
+        count = {s: max(8, -(-overlap * n // shard_rows)) for s, n in zip(few["shard"], few["held"].tolist())}
+        shrink = min(1.0, MAX_CENTRES / sum(count.values()))
         centres = {
-            shard: centres_of(np.stack(own["unit"]), max(2, int(wanted[shard] * shrink)))
-            for shard, own in samples.groupby("shard")
-            if len(own) > 1
+            shard: centres_of(np.stack(rows["unit"]), max(8, int(count[shard] * shrink)))
+            for shard, rows in samples.groupby("shard")
         }
-        members = members.mapInArrow(_assign(spark.sparkContext.broadcast(centres), near), MEMBER)
-    return stage(members, "members")
+        fitted = own.filter(F.col("shard").isin(list(centres))).select(*members.columns)
+        dealt = fitted.mapInArrow(_assign(spark.sparkContext.broadcast(centres), overlap), MEMBER)
+        unfit = own.filter(~F.col("shard").isin(list(centres)))
+    else:
+        rate = F.least(F.lit(1.0), F.lit(SAMPLE_ROWS) / F.col("held"))
+        centres = stage(
+            own.filter(drawn < rate * (1 << 30))
+            .select("shard", "class", "unit", F.least(wanted, F.lit(MAX_CENTRES)).cast("int").alias("wanted"))
+            .groupBy("shard")
+            .applyInArrow(_fit, "shard string, centres array<double>"),
+            "centres",
+        )
+        parts = F.ceil(F.col("held") / PART_ROWS).cast("int")
+        part = F.pmod(F.xxhash64("class"), parts).cast("int")
+        spread = centres.join(large, "shard").select(
+            "shard", "centres", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part")
+        )
+        dealt = (
+            own.join(centres.select("shard"), "shard", "left_semi")
+            .select(*members.columns, part.alias("part"))
+            .groupBy("shard", "part")
+            .cogroup(spread.groupBy("shard", "part"))
+            .applyInArrow(_cut(overlap), MEMBER)
+        )
+        unfit = own.join(centres.select("shard"), "shard", "left_anti")
+    return dealt.unionByName(_at_random(unfit, shard_rows))
+
+
+def _at_random(own: DataFrame, shard_rows: int) -> DataFrame:
+    """Members of large shards dealt by hash; the name tells all parts (``siblings``)."""
+    parts = F.ceil(F.col("held") / shard_rows).cast("int")
+    place = F.pmod(F.xxhash64("class"), parts).cast("int")
+    name = F.concat("shard", F.lit("."), place.cast("string"), F.lit("/"), parts.cast("string"))
+    return own.select(name.alias("shard"), "rank", "class", "copies", "unit")
+
+
+def shards(classes: DataFrame, shard_rows: int = SHARD_ROWS, overlap: int = OVERLAP) -> DataFrame:
+    """Classes (class, copies, unit) dealt to overlapping shards of bounded size.
+
+    Every shard above twice ``shard_rows`` is cut by centres of its own, level by
+    level, until none is; a shard that centres do not at least halve is dealt at
+    random.  A class goes to ``overlap`` shards at the first level, to two of each at
+    the second and to one after it, so copies are bounded too.  ``rank`` is 0 in the
+    nearest shard, a class's home.  Centres are fitted on samples (``SAMPLE_ROWS``);
+    every class is dealt.  Vectors of different length never share a shard.
+    """
+    members = classes.select(
+        F.concat(F.lit("d"), F.size("unit")).alias("shard"), F.lit(0).cast("long").alias("rank"), "class", "copies", "unit"
+    )
+    done, level, before = [], 0, None
+    while True:
+        members = stage(members, "members")
+        sizes = members.groupBy("shard").agg(F.count("*").alias("held"))
+        large = stage(
+            sizes.filter((F.col("held") > 2 * shard_rows) & ~F.col("shard").contains("/")), "large-shards"
+        )
+        if large.isEmpty():
+            return reduce(DataFrame.unionByName, [*done, members])
+        done.append(members.join(large, "shard", "left_anti"))
+        near = overlap if not level else 2 if level == 1 else 1
+        if before is None:
+            members = _recut(members, large, shard_rows, near)
+        else:
+            parent = F.regexp_replace("shard", r"\.[^.]*$", "")
+            grown = large.withColumn("parent", parent).join(
+                before.select(F.col("shard").alias("parent"), F.col("held").alias("parent_held")), "parent"
+            )
+            stuck = stage(grown.filter("2 * held > parent_held").select("shard", "held"), "stuck-shards")
+            rest = stage(large.join(stuck, "shard", "left_anti"), "large-shards")
+            members = _at_random(members.join(stuck, "shard"), shard_rows).unionByName(
+                _recut(members, rest, shard_rows, near)
+            )
+        before, level = large, level + 1
 
 
 def _top(sims: np.ndarray, k: int) -> np.ndarray:

@@ -96,3 +96,19 @@ def test_pruned_graph_is_navigable():
     graph = vector_dedup.Graph(units, rows, near[rows, columns])
     ids, _ = graph.greedy(np.arange(600), 32)
     assert (ids == np.arange(600)[:, None]).any(axis=1).mean() > 0.97
+
+
+@pytest.mark.parametrize("few", [64, 0])
+def test_no_shard_is_above_its_bound(spark, monkeypatch, few):
+    monkeypatch.setattr(vector_dedup, "MAX_CENTRES", 16)
+    monkeypatch.setattr(vector_dedup, "FEW_SHARDS", few, raising=False)
+    rng = np.random.default_rng(4)
+    units = rng.normal(size=(4000, 8))
+    units[:1500] = units[0] + 1e-9 * units[:1500]  # centres hardly part these
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    rows = [(i, 1, u.tolist()) for i, u in enumerate(units)]
+    classes = spark.createDataFrame(rows, "class long, copies long, unit array<double>").repartition(4)
+    dealt = vector_dedup.shards(classes, 20, 4).toPandas()
+    assert dealt.groupby("shard").size().max() <= 2 * 20
+    assert set(dealt["class"]) == set(range(4000)) and len(dealt) <= 8 * 4000
+    assert (dealt[dealt["rank"] == 0].groupby("class").size() == 1).all()
