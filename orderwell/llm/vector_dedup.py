@@ -3,15 +3,18 @@
 Equal vectors are one class.  Classes are dealt to overlapping shards, the nearest
 few of a set of centres each; a shard that is too large is cut again by centres of
 its own.  Within a shard every class gets the neighbours that robust pruning leaves
-it, the adjacency lists of a class's shards are united, and every class is then
-searched for: greedily from the shard's medoid, then outwards from what lies within
-range until nothing new does.  A sample of each shard is compared with brute force,
-and a shard that misses links is searched again with a wider beam.  Every link is
-verified by its cosine in double precision.
-
-A pair that meets in several shards counts in the first of them only, and a shard
-returns one row per class (its count of links and the root of its local component),
-so nothing grows with the square of a group.
+it, and the adjacency lists of a class's shards are united over all shards.
+
+The nearest of its shards is a class's home.  A class is searched for in the homes
+its shards are, then in those of whatever is found in range: the shards of such a
+class and the homes of its neighbours, round by round, until no new one appears.  A
+visit compares a class with all members of one home in double precision, so every
+link met is found, and a link sends both its ends to each other's home.  A stated
+set of queries is compared with all rows; if too many of their links are missing,
+every class visits twice as many of the homes nearest to it, at last all of them.
+
+Each pair of classes is compared in one home only, and visits are rows of a class
+and a home: a group's pairs become no rows.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from orderwell.llm.components import connected
 from orderwell.sources.tables import stage
@@ -33,8 +37,9 @@ SHARD_ROWS, OVERLAP, MAX_CENTRES = 1500, 4, 1024
 #: Vectors that centres are fitted on, about, on the driver in all and in one task.
 SAMPLE_ROWS = 20_000
 DEGREE, CANDIDATES, SLACK = 24, 48, 1.2
-BEAM, QUERIES = 32, 256
-AUDIT_ROWS, AUDIT_RECALL = 48, 0.99
+QUERIES = 256
+#: Classes compared with all others, and the part of their links to be found.
+AUDIT_ROWS, AUDIT_RECALL = 512, 0.99
 #: Large shards whose centres the driver fits; rows of a shard that one task deals.
 FEW_SHARDS, PART_ROWS = 64, 4096
 
@@ -138,12 +143,6 @@ def _fit(table: pa.Table) -> pa.Table:
 MEMBER = "shard string, rank long, class long, copies long, unit array<double>"
 
 
-def siblings(shard: str) -> list[str]:
-    """All parts of a shard that was dealt at random; another shard is alone."""
-    base, mark, parts = shard.rpartition("/")
-    return [f"{base.rpartition('.')[0]}.{i}/{parts}" for i in range(int(parts))] if mark else [shard]
-
-
 def _recut(members: DataFrame, large: DataFrame, shard_rows: int, overlap: int) -> DataFrame:
     """The members of the shards in ``large``, dealt to centres of those shards.
 
@@ -198,7 +197,7 @@ def _recut(members: DataFrame, large: DataFrame, shard_rows: int, overlap: int)
 
 
 def _at_random(own: DataFrame, shard_rows: int) -> DataFrame:
-    """Members of large shards dealt by hash; the name tells all parts (``siblings``)."""
+    """Members of large shards dealt by hash; the name tells how many parts there are."""
     parts = F.ceil(F.col("held") / shard_rows).cast("int")
     place = F.pmod(F.xxhash64("class"), parts).cast("int")
     name = F.concat("shard", F.lit("."), place.cast("string"), F.lit("/"), parts.cast("string"))
@@ -292,7 +291,8 @@ def pruned_neighbours(units: np.ndarray, degree: int = DEGREE) -> np.ndarray:
 
 
 class Graph:
-    """The classes of one shard with their adjacency, searched by blocks of queries."""
+    """Vectors with their adjacency, walked by blocks of queries: shows that a pruned
+    graph is navigable.  The query itself searches by visits."""
 
     def __init__(self, units: np.ndarray, sources: np.ndarray, targets: np.ndarray):
         self.units, n = units, len(units)
@@ -345,128 +345,259 @@ class Graph:
             sims[active] = np.take_along_axis(all_sims, keep, axis=1)
             opened[active] = np.take_along_axis(all_open, keep, axis=1)
 
-    def within(self, queries: np.ndarray, beam: int, cosine: float) -> np.ndarray:
-        """For each query a row of booleans: the nodes found with at least ``cosine``.
 
-        From the query itself and from what the walk met in range, the search goes on
-        to the neighbours of every node in range until no new one is.
-        """
-        q, n = len(queries), len(self.units)
-        linked, seen = np.zeros((q, n), dtype=bool), np.zeros((q, n + 1), dtype=bool)
-        seen[:, -1] = True
-        ids, sims = self.greedy(queries, beam)
-        row, column = np.nonzero((sims >= cosine) & (ids >= 0))
-        seen[row, ids[row, column]] = True
-        linked[row, ids[row, column]] = True
-        seen[np.arange(q), queries] = linked[np.arange(q), queries] = True
-        row, node = np.nonzero(linked)
-        while len(row):
-            next_row, next_node = [], []
-            for first in range(0, len(row), 20_000):
-                r, around = row[first : first + 20_000], self.near[node[first : first + 20_000]]
-                fresh = ~seen[r[:, None], around]
-                keys = np.unique((r[:, None] * n + around)[fresh])
-                r, new = keys // n, keys % n
-                seen[r, new] = True
-                near = np.einsum("ij,ij->i", self.units[queries[r]], self.units[new]) >= cosine
-                linked[r[near], new[near]] = True
-                next_row.append(r[near])
-                next_node.append(new[near])
-            row, node = np.concatenate(next_row), np.concatenate(next_node)
-        return linked
-
-    def links(self, cosine: float) -> np.ndarray:
-        """All links found, as a symmetric matrix without the diagonal.
-
-        A spread of queries is audited against brute force; if too many links are
-        missing the beam is doubled, and past the whole shard brute force remains.
-        """
-        n = len(self.units)
-        audit = np.unique(np.linspace(0, n - 1, min(n, AUDIT_ROWS)).astype(np.int64))
-        true = self.units[audit] @ self.units.T >= cosine
-        beam = min(BEAM, n)
-        while (self.within(audit, beam, cosine) & true).sum() < AUDIT_RECALL * true.sum():
-            if beam >= n:
-                return self._blocks(lambda own: self.units[own] @ self.units.T >= cosine)
-            beam = min(n, 2 * beam)
-        return self._blocks(lambda own: self.within(own, beam, cosine))
-
-    def _blocks(self, find) -> np.ndarray:
-        n = len(self.units)
-        linked = np.zeros((n, n), dtype=bool)
-        for first in range(0, n, QUERIES):
-            own = np.arange(first, min(n, first + QUERIES))
-            linked[own] = find(own)
-        linked |= linked.T
-        np.fill_diagonal(linked, False)
-        return linked
-
-
-def _build(table: pa.Table) -> pa.Table:
-    units = _matrix(table.column("unit"))
-    classes = table.column("class").to_numpy()
-    near = pruned_neighbours(units)
-    counts = (near >= 0).sum(axis=1)
-    return pa.table(
-        {
-            "class": pa.array(classes),
-            "shard": table.column("shard"),
-            "near": pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(classes[near[near >= 0]])
-            ),
-        }
+def _build(cosine: float):
+    """The neighbours of each class that can lead on: if x is in range of a query and
+    its neighbour too, the two are within twice the range of each other."""
+    reach = np.cos(min(2 * np.arccos(np.clip(cosine, -1, 1)), np.pi)) - 1e-9
+
+    def run(table: pa.Table) -> pa.Table:
+        units = _matrix(table.column("unit"))
+        classes = table.column("class").to_numpy()
+        near = pruned_neighbours(units)
+        row, column = np.nonzero(near >= 0)
+        other = near[row, column]
+        close = np.concatenate(
+            [
+                np.einsum("ij,ij->i", units[row[at : at + 20_000]], units[other[at : at + 20_000]]) >= reach
+                for at in range(0, len(row), 20_000)
+            ]
+            or [np.zeros(0, bool)]
+        )
+        return pa.table({"class": pa.array(classes[row[close]]), "other": pa.array(classes[other[close]])})
+
+    return run
+
+
+def _places(classes: DataFrame, members: DataFrame, cosine: float) -> DataFrame:
+    """Per class its home, the shards it starts from and those it leads on to."""
+    dealt = stage(
+        members.groupBy("class")
+        .agg(F.min_by("shard", "rank").alias("home"), F.collect_set("shard").alias("own"))
+        .select("class", "home", "own"),
+        "dealt",
+    )
+    edges = stage(members.groupBy("shard").applyInArrow(_build(cosine), "class long, other long"), "adjacency")
+    both = edges.unionByName(edges.select(F.col("other").alias("class"), F.col("class").alias("other")))
+    around = (
+        both.join(dealt.select(F.col("class").alias("other"), F.col("home").alias("shard")), "other")
+        .groupBy("class")
+        .agg(F.collect_set("shard").alias("around"))
+    )
+    # Every part of a shard that was dealt at random: "base.i/parts".
+    name = lambda s: F.regexp_replace(s, r"\d+/\d+$", "")
+    count = lambda s: F.regexp_extract(s, r"/(\d+)$", 1)
+    parts = lambda s: F.transform(
+        F.sequence(F.lit(0), count(s).cast("int") - 1), lambda i: F.concat(name(s), i.cast("string"), F.lit("/"), count(s))
+    )
+    starts = F.array_distinct(
+        F.flatten(F.transform("own", lambda s: F.when(s.contains("/"), parts(s)).otherwise(F.array(s))))
+    )
+    return stage(
+        classes.select("class", "copies", "unit")
+        .join(dealt, "class")
+        .join(around, "class", "left")
+        .select("class", "copies", "unit", "home", starts.alias("starts"), "around")
+        .withColumn("routes", F.array_union("starts", F.coalesce("around", F.array().cast("array<string>"))))
+        .drop("around"),
+        "places",
     )
 
 
-def _roots(linked: np.ndarray) -> np.ndarray:
-    """The first node of each node's component."""
-    roots = np.arange(len(linked))
-    while True:
-        low = roots.copy()
-        for first in range(0, len(linked), QUERIES):
-            rows = linked[first : first + QUERIES]
-            reach = np.where(rows, roots[None, :], len(linked)).min(axis=1, initial=len(linked))
-            low[first : first + QUERIES] = np.minimum(low[first : first + QUERIES], reach)
-        low = low[low]
-        if (low == roots).all():
-            return roots
-        roots = low
-
-
-def _search(cosine: float):
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("class")
-        classes, copies = table.column("class").to_numpy(), table.column("copies").to_numpy()
-        n = len(classes)
-        near = table.column("near").combine_chunks()
-        sources = np.repeat(np.arange(n), np.diff(near.offsets.to_numpy()))
-        other = near.flatten().to_numpy()
-        place = np.minimum(np.searchsorted(classes, other), n - 1)
-        held = classes[place] == other
-        linked = Graph(_matrix(table.column("unit")), sources[held], place[held]).links(cosine)
-        counts = _owned(linked, copies, table)
-        return pa.table({"class": classes, "links": counts, "root": classes[_roots(linked)]})
+VISIT = "class long, links long, root long, next array<string>"
+
+
+def _visit(cosine: float):
+    """Part of the queries that visit one home, compared with all its members.
+
+    One row per query, with its links here, the smallest class of its component here
+    and the shards to visit next that it has not; and one per member that was linked
+    with, which is sent to the homes of those that found it.
+    """
+
+    def run(home: pa.Table, queries: pa.Table) -> pa.Table:
+        if not home.num_rows or not queries.num_rows:
+            return pa.table({"class": [], "links": [], "root": [], "next": []}, _arrow_visit())
+        units, asked = _matrix(home.column("unit")), _matrix(queries.column("unit"))
+        classes, asking = home.column("class").to_numpy(), queries.column("class").to_numpy()
+        copies = home.column("copies").to_numpy()
+        n = len(asking)
+        linked = np.zeros((n, len(classes)), dtype=bool)
+        for at in range(0, n, QUERIES):
+            linked[at : at + QUERIES] = asked[at : at + QUERIES] @ units.T >= cosine
+        linked &= asking[:, None] != classes[None, :]
+        links = np.array([copies[row].sum() for row in linked], dtype=np.int64)
+        low_q, low_x = _lowest_linked(linked, asking, classes)
+
+        routes = [frozenset(r) for r in home.column("routes").to_pylist()]
+        starts = [set(s) for s in home.column("starts").to_pylist()]
+        known = [set(k) for k in queries.column("known").to_pylist()]
+        homes = np.array(queries.column("home").to_pylist(), dtype=object)
+        kinds = {r: i for i, r in enumerate(dict.fromkeys(routes))}  # many members share their routes
+        kind, sets = np.array([kinds[r] for r in routes]), list(kinds)
+        onward = [
+            sorted(frozenset().union(*(sets[k] for k in np.unique(kind[row]))) - seen) if row.any() else []
+            for row, seen in zip(linked, known)
+        ]
+        met = np.flatnonzero(linked.any(axis=0))
+        back = [sorted(set(homes[linked[:, x]].tolist()) - starts[x]) for x in met]
+        return pa.table(
+            {
+                "class": np.concatenate([asking, classes[met]]),
+                "links": np.concatenate([links, np.zeros(len(met), np.int64)]),
+                "root": np.concatenate([low_q, low_x[met]]),
+                "next": pa.array(onward + back, pa.list_(pa.string())),
+            },
+            _arrow_visit(),
+        )
 
     return run
 
 
-def _owned(linked: np.ndarray, copies: np.ndarray, table: pa.Table) -> np.ndarray:
-    """Vectors linked with each class, by pairs whose first common shard is this."""
-    homes = table.column("homes").to_pylist()
-    width = max(map(len, homes))
-    padded = np.array([h + [f"\0{i}"] * (width - len(h)) for i, h in enumerate(homes)], dtype=object)
-    _, codes = np.unique(padded.ravel().astype(str), return_inverse=True)
-    codes = codes.reshape(len(homes), width)
-    here = codes[0][padded[0].tolist().index(table.column("shard")[0].as_py())]
-    counts = np.zeros(len(homes), dtype=np.int64)
-    for first in range(0, len(homes), QUERIES):
-        row, other = np.nonzero(linked[first : first + QUERIES])
-        for at in range(0, len(row), 200_000):
-            i, j = row[at : at + 200_000] + first, other[at : at + 200_000]
-            common = (codes[i][:, :, None] == codes[j][:, None, :]).any(axis=2)
-            owner = np.where(common, codes[i], codes.max() + 1).min(axis=1)
-            counts += np.bincount(i, copies[j] * (owner == here), len(homes)).astype(np.int64)
-    return counts
+def _arrow_visit() -> pa.Schema:
+    return pa.schema(
+        [("class", pa.int64()), ("links", pa.int64()), ("root", pa.int64()), ("next", pa.list_(pa.string()))]
+    )
+
+
+def _lowest_linked(linked: np.ndarray, asking: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest class in the component of each query and of each member."""
+    low_q, low_x = asking.copy(), classes.copy()
+    row, column = linked.any(axis=1).nonzero()[0], linked.any(axis=0).nonzero()[0]
+    within = linked[np.ix_(row, column)]
+    q, x, far = low_q[row], low_x[column], np.iinfo(np.int64).max
+    while len(row):
+        before = q.copy(), x.copy()
+        for at in range(0, len(row), QUERIES):
+            here = within[at : at + QUERIES]
+            q[at : at + QUERIES] = np.minimum(q[at : at + QUERIES], np.where(here, x, far).min(axis=1))
+            x = np.minimum(x, np.where(here, q[at : at + QUERIES, None], far).min(axis=0))
+        if (before[0] == q).all() and (before[1] == x).all():
+            break
+    low_q[row], low_x[column] = q, x
+    return low_q, low_x
+
+
+def _round(places: DataFrame, fresh: DataFrame, seen: DataFrame, cosine: float) -> DataFrame:
+    """The visits ``fresh`` (class, shard), a home's visitors in parts of about
+    ``PART_ROWS`` with a copy of its members each."""
+    held = stage(
+        fresh.groupBy("shard").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("parts")), "visited"
+    )
+    known = seen.groupBy("class").agg(F.collect_set("shard").alias("known"))
+    askers = stage(
+        fresh.select("class").distinct().join(known, "class").join(places.select("class", "unit", "home"), "class"),
+        "askers",
+    )
+    queries = fresh.join(held, "shard").join(askers, "class").select(
+        "shard", F.pmod(F.xxhash64("class"), "parts").cast("int").alias("part"), "class", "unit", "home", "known"
+    )
+    homes = places.join(held, places["home"] == held["shard"]).select(
+        "shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        "class", "copies", "unit", "starts", "routes",
+    )
+    return stage(
+        homes.groupBy("shard", "part").cogroup(queries.groupBy("shard", "part")).applyInArrow(_visit(cosine), VISIT),
+        "found",
+    )
+
+
+def _search(places: DataFrame, cosine: float) -> DataFrame:
+    """Rows (class, links, root) of all visits."""
+    seen = stage(places.select("class", F.explode("starts").alias("shard")), "visits")
+    truth = stage(_audit(places, cosine), "audit")
+    homes = stage(places.groupBy("home").agg(F.count("*").alias("held")), "homes").count()
+    fresh, found, reach = seen, [], OVERLAP
+    while True:
+        while not fresh.isEmpty():
+            found.append(_round(places, fresh, seen, cosine))
+            fresh = stage(
+                found[-1].select("class", F.explode("next").alias("shard")).distinct()
+                .join(seen, ["class", "shard"], "left_anti"),
+                "visits",
+            )
+            seen = seen.unionByName(fresh)
+        answers = reduce(DataFrame.unionByName, found).drop("next") if found else None
+        if answers is None or reach >= homes:
+            return answers
+        links = answers.groupBy("class").agg(F.sum("links").alias("links"))
+        both = truth.join(links, "class").agg(F.sum("links").alias("got"), F.sum("true").alias("true")).first()
+        if (both.got or 0) >= AUDIT_RECALL * (both.true or 0):
+            return answers
+        reach = min(2 * reach, homes)
+        fresh = stage(_nearest_homes(places, reach).join(seen, ["class", "shard"], "left_anti"), "visits")
+        seen = seen.unionByName(fresh)
+
+
+def _audit(places: DataFrame, cosine: float) -> DataFrame:
+    """The true count of links of the ``AUDIT_ROWS`` classes whose hash is smallest,
+    each compared with all classes."""
+    chosen = places.select("class", "unit").orderBy(F.xxhash64("class"), "class").limit(AUDIT_ROWS).toPandas()
+    asked = {
+        size: (own["class"].to_numpy(), np.stack(own["unit"])) for size, own in chosen.groupby(chosen["unit"].map(len))
+    }
+    shared = places.sparkSession.sparkContext.broadcast(asked)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.diff(batch.column("unit").offsets.to_numpy())
+            for size, (ids, asked) in shared.value.items():
+                own = batch.take(pa.array(np.flatnonzero(sizes == size)))
+                true = np.zeros(len(ids), np.int64)
+                if own.num_rows:
+                    linked = (asked @ _matrix(own.column("unit")).T >= cosine) & (
+                        ids[:, None] != own.column("class").to_numpy()
+                    )
+                    true = (linked * own.column("copies").to_numpy()).sum(axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(true)], names=["class", "true"])
+
+    counted = places.select("class", "copies", "unit").mapInArrow(run, "class long, true long")
+    return counted.groupBy("class").agg(F.sum("true").alias("true"))
+
+
+def _nearest_homes(places: DataFrame, reach: int) -> DataFrame:
+    """Visits of every class to the ``reach`` homes whose mean is nearest to it.  The
+    means go out about ``MAX_CENTRES`` at a time; homes of other lengths are not visited."""
+    dims = F.posexplode("unit").alias("at", "value")
+    means = stage(
+        places.select("home", dims).groupBy("home", "at").agg(F.avg("value").alias("value"))
+        .groupBy("home").agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("m"))
+        .select("home", F.col("m.value").alias("mean")),
+        "means",
+    )
+    near, pieces = [], -(-means.count() // MAX_CENTRES)
+    for piece in range(pieces):
+        some = means.filter(F.pmod(F.xxhash64("home"), F.lit(pieces)) == piece).toPandas()
+        sizes = some["mean"].map(len)
+        held = {k: (own["home"].tolist(), np.stack(own["mean"])) for k, own in some.groupby(sizes)}
+        shared = places.sparkSession.sparkContext.broadcast(held)
+        ranked = _rank_homes(shared, reach)
+        near.append(places.select("class", "unit").mapInArrow(ranked, "class long, shard string, cosine double"))
+    order = Window.partitionBy("class").orderBy(F.desc("cosine"), "shard")
+    ranked = reduce(DataFrame.unionByName, near).withColumn("place", F.row_number().over(order))
+    return ranked.filter(F.col("place") <= reach).select("class", "shard")
+
+
+def _rank_homes(shared, reach: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.diff(batch.column("unit").offsets.to_numpy())
+            for size, (names, means) in shared.value.items():
+                own = batch.take(pa.array(np.flatnonzero(sizes == size)))
+                for at in range(0, own.num_rows, QUERIES):
+                    some = own.slice(at, QUERIES)
+                    sims = _matrix(some.column("unit")) @ means.T
+                    best = _top(sims, reach)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.repeat(some.column("class").to_numpy(), best.shape[1])),
+                            pa.array([names[b] for b in best.ravel()], pa.string()),
+                            pa.array(np.take_along_axis(sims, best, axis=1).ravel()),
+                        ],
+                        names=["class", "shard", "cosine"],
+                    )
+
+    return run
 
 
 def near_copies(
@@ -500,23 +631,10 @@ def near_copies(
         .withColumn("class", F.monotonically_increasing_id()),
         "classes",
     )
-    members = shards(classes, shard_rows, overlap)
-    near = stage(
-        members.groupBy("shard")
-        .applyInArrow(_build, "class long, shard string, near array<long>")
-        .groupBy("class")
-        .agg(
-            F.sort_array(F.collect_set("shard")).alias("homes"),
-            F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"),
-        ),
-        "adjacency",
-    )
-    found = stage(
-        members.join(near, "class").groupBy("shard").applyInArrow(
-            _search(cosine), "class long, links long, root long"
-        ),
-        "found",
-    )
+    places = _places(classes, shards(classes, shard_rows, overlap), cosine)
+    found = _search(places, cosine)
+    if found is None:
+        found = classes.select("class", F.lit(0).cast("long").alias("links"), F.col("class").alias("root"))
     roots = connected(found, "class", "root").withColumnRenamed("node", "class")
     links = stage(found.groupBy("class").agg(F.sum("links").alias("links")), "links")
     placed = stage(

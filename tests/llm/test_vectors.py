@@ -112,3 +112,18 @@ def test_no_shard_is_above_its_bound(spark, monkeypatch, few):
     assert dealt.groupby("shard").size().max() <= 2 * 20
     assert set(dealt["class"]) == set(range(4000)) and len(dealt) <= 8 * 4000
     assert (dealt[dealt["rank"] == 0].groupby("class").size() == 1).all()
+
+
+def test_dense_group_over_many_shards(spark):
+    rng = np.random.default_rng(9)
+    centre = rng.normal(size=32)
+    units = centre / np.linalg.norm(centre) + rng.normal(size=(6000, 32)) * 0.05
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    units = units.astype(np.float32).astype(np.float64)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, u.tolist(), 0) for i, u in enumerate(units)], VECTOR).repartition(4)
+    got = vector_dedup.near_copies(df, shard_rows=300).toPandas().sort_values("vec_id")
+    true = sum(int((units[at : at + 500] @ units.T >= 0.9).sum()) for at in range(0, 6000, 500)) - 6000
+    assert true > 0.5 * 6000**2
+    assert 0.99 * true <= got["n_links"].sum() <= 1.0001 * true
+    assert got["component_id"].nunique() == 1
