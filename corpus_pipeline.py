@@ -30,9 +30,14 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return exact_dedup.drop_copies(docs)
 
 
+#: Least similarity of word shingles, in percent, at which the stage takes two documents
+#: for near copies: op4's.
+NEAR_PERCENT = near_dedup.PERCENT
+
+
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return near_dedup.drop_near_copies(docs)
+    return near_dedup.drop_near_copies(docs, percent=NEAR_PERCENT)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

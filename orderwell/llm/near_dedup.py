@@ -4,8 +4,9 @@ Every shingle is hashed once.  The top bits of the hash choose one of 256 bins,
 a bin keeps its smallest hash; an empty bin borrows from a bin that is not, chosen
 by a fixed sequence of pseudo-random probes that is the same for all documents
 (optimal densification), so two documents agree in any bin with a probability equal
-to their similarity.  Seven bins make a band: with 36 bands two documents of
-similarity 0.85 miss every band with a probability under one in a million.
+to their similarity.  Bands are as many bins wide as two documents at the threshold
+miss every band with a probability under one in a million: seven and 36 bands at 0.85,
+five and 51 at 0.80 (``Threshold``).
 
 Documents with the same set of shingles are one class, and only classes are
 compared.  Within a bucket each class is paired with the smallest class alone (a
@@ -18,7 +19,8 @@ a bucket is open.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from dataclasses import dataclass
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,7 @@ from orderwell.llm.keys import only_ids, without_ids
 from orderwell.llm.text import as_arrays, blocks, mix, shingle_sets
 from orderwell.sources.tables import stage
 
-BINS, BAND_BINS = 256, 7
-BANDS = BINS // BAND_BINS
+BINS, MISSED = 256, 1e-6
 PERCENT = 85
 STAR_ROWS = 50
 #: Further centres of a bucket in the first round after the star, and how many times
@@ -40,9 +41,40 @@ STAR_ROWS = 50
 FIRST_CENTRES, MORE_CENTRES = 512, 8
 PART_ROWS = 1000
 #: One byte for each of 2048 bin minima foretells a similarity; pairs that agree in
-#: fewer are compared no further.  At 0.85 that is over six standard deviations away.
-SKETCH_BINS, SKETCH_AGREE = 2048, 1606
-_BAND_SEEDS = np.random.default_rng(5).integers(1, 2**63, (BANDS, BAND_BINS), dtype=np.uint64) | np.uint64(1)
+#: fewer than a pair at the threshold by so many standard deviations are compared no
+#: further.
+SKETCH_BINS, SKETCH_DEVIATIONS = 2048, 8.45
+
+
+@dataclass(frozen=True)
+class Threshold:
+    """A link's least similarity in percent, and what finding all links takes."""
+
+    percent: int = PERCENT
+
+    def __post_init__(self):
+        if not 0 < self.percent <= 100:
+            raise ValueError(f"a similarity of {self.percent} percent")
+
+    @property
+    def band_bins(self) -> int:
+        """The widest band that misses few enough pairs; one bin where none does."""
+        missed = lambda width: (1 - (self.percent / 100) ** width) ** (BINS // width)
+        return max((w for w in range(1, 17) if missed(w) < MISSED), default=1)
+
+    @property
+    def bands(self) -> int:
+        return BINS // self.band_bins
+
+    @property
+    def sketch_agree(self) -> int:
+        """Bins of two sketches that agree at least; bytes agree by chance as well."""
+        p = self.percent / 100 + (1 - self.percent / 100) / 256
+        return int(np.ceil(SKETCH_BINS * p - SKETCH_DEVIATIONS * np.sqrt(SKETCH_BINS * p * (1 - p))))
+
+
+DEFAULT = Threshold()
+BANDS, BAND_BINS, SKETCH_AGREE = DEFAULT.bands, DEFAULT.band_bins, DEFAULT.sketch_agree
 
 SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
@@ -71,24 +103,26 @@ def signature(shingles: np.ndarray, n_bins: int = BINS) -> np.ndarray:
     return _densify(bins, filled)
 
 
-def band_keys(signatures: np.ndarray) -> np.ndarray:
-    """36 bucket keys for each row of bin minima; the band number is part of a key."""
-    used = signatures[:, : BANDS * BAND_BINS].reshape(-1, BANDS, BAND_BINS)
-    keys = (mix(used) * _BAND_SEEDS).sum(axis=2, dtype=np.uint64)
-    return mix(keys + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+def band_keys(signatures: np.ndarray, limit: Threshold = DEFAULT) -> np.ndarray:
+    """A bucket key per band for each row of bin minima; the band number is part of a key."""
+    shape = limit.bands, limit.band_bins
+    seeds = np.random.default_rng(5).integers(1, 2**63, shape, dtype=np.uint64) | np.uint64(1)
+    used = signatures[:, : shape[0] * shape[1]].reshape(-1, *shape)
+    keys = (mix(used) * seeds).sum(axis=2, dtype=np.uint64)
+    return mix(keys + np.arange(shape[0], dtype=np.uint64)).view(np.int64)
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketch(batches: Iterator[pa.RecordBatch], limit: Threshold) -> Iterator[pa.RecordBatch]:
     for batch in blocks(batches, "text"):
         sets = shingle_sets(*as_arrays(batch.column("text")))
         sizes = np.array([len(s) for s in sets], dtype=np.int64)
         marks = np.zeros((2, len(sets)), dtype=np.uint64)
         signed = [signature(s) for s in sets if len(s)]
-        keys = band_keys(np.array(signed)).ravel() if signed else np.zeros(0, np.int64)
+        keys = band_keys(np.array(signed), limit).ravel() if signed else np.zeros(0, np.int64)
         for i, s in enumerate(sets):
             marks[0, i] = s.sum(dtype=np.uint64)
             marks[1, i] = mix(s + np.uint64(1)).sum(dtype=np.uint64)
-        ends = np.concatenate([[0], np.cumsum(BANDS * (sizes > 0))]).astype(np.int32)
+        ends = np.concatenate([[0], np.cumsum(limit.bands * (sizes > 0))]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
@@ -101,7 +135,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], limit: Threshold) -> Iterator[pa.RecordBatch]:
     """Rows sorted by star: the centre's texts, then those it is compared with."""
     star, centres = None, []
     for batch in blocks(batches, "text"):
@@ -115,7 +149,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 centres.append(shingles)
                 continue
             for centre in centres:
-                if _similar(centre, shingles):
+                if _similar(centre, shingles, limit.percent):
                     found.append((hub, label))
                     break
         yield pa.RecordBatch.from_arrays(
@@ -123,17 +157,17 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _similar(a: np.ndarray, b: np.ndarray) -> bool:
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     if not len(a) or not len(b):
         return False
     if len(a) < len(b):
         a, b = b, a
     at = np.minimum(np.searchsorted(a, b), len(a) - 1)
     both = int((a[at] == b).sum())
-    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _confirm(pairs: DataFrame, docs: DataFrame, limit: Threshold) -> DataFrame:
     """The pairs (hub, label) whose full shingle sets are similar enough.
 
     A centre's partners are dealt out in parts of about ``STAR_ROWS``, each with a
@@ -172,22 +206,22 @@ def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         members.unionByName(centres)
         .repartition("hub", "part")
         .sortWithinPartitions("hub", "part", "member")
-        .mapInArrow(_compare, "a long, b long")
+        .mapInArrow(partial(_compare, limit=limit), "a long, b long")
     )
 
 
-def _pairs(rows: DataFrame) -> DataFrame:
+def _pairs(rows: DataFrame, limit: Threshold) -> DataFrame:
     """Two classes of a row, once each; sizes that rule a link out need no reading."""
     small, large = F.least("n", "hub_n"), F.greatest("n", "hub_n")
     return (
-        rows.filter((F.col("label") != F.col("hub")) & (small * 100 >= large * PERCENT))
+        rows.filter((F.col("label") != F.col("hub")) & (small * 100 >= large * limit.percent))
         .select(F.least("hub", "label").alias("hub"), F.greatest("hub", "label").alias("label"))
         .distinct()
     )
 
 
 def _next_round(
-    slots: DataFrame, roots: DataFrame, docs: DataFrame, centres_each: int
+    slots: DataFrame, roots: DataFrame, docs: DataFrame, centres_each: int, limit: Threshold
 ) -> tuple[DataFrame, DataFrame] | None:
     """Pairs still to be checked in buckets that hold several components, and the
     slots of those buckets without the centres used up; None if there are none.
@@ -222,10 +256,10 @@ def _next_round(
         "centres",
     )
     left = held.select("key", "label", "n").join(centres, ["key", "label"], "left_anti")
-    return _foretold(held, centres, docs), stage(left, "slots-left")
+    return _foretold(held, centres, docs, limit), stage(left, "slots-left")
 
 
-def _foretold(held: DataFrame, centres: DataFrame, docs: DataFrame) -> DataFrame:
+def _foretold(held: DataFrame, centres: DataFrame, docs: DataFrame, limit: Threshold) -> DataFrame:
     """Pairs of a centre and a member of another component whose sketches agree.
 
     A bucket's members are dealt out in parts of about ``PART_ROWS``, each with all
@@ -235,13 +269,13 @@ def _foretold(held: DataFrame, centres: DataFrame, docs: DataFrame) -> DataFrame
     ends = stage(held.select(F.col("label").alias("doc_id")).distinct(), "members")
     sketches = stage(
         only_ids(docs, ends)
-        .mapInArrow(_small_sketch, "label long, sketch binary, homes binary")
+        .mapInArrow(partial(_small_sketch, limit=limit), "label long, sketch binary, homes binary")
         .filter("sketch is not null"),
         "small-sketches",
     )
     own = F.pmod(F.xxhash64("label"), "parts").cast("int")
     every = F.sequence(F.lit(0), F.col("parts") - 1)
-    # A member is in 36 buckets at most: they meet its sketch as one row.
+    # A member is in a bucket per band at most: they meet its sketch as one row.
     members = (
         held.join(centres.withColumn("centre", F.lit(True)), ["key", "label"], "left")
         .withColumn("slot", F.struct("key", "parts", F.coalesce("centre", F.lit(False)).alias("centre")))
@@ -258,17 +292,17 @@ def _foretold(held: DataFrame, centres: DataFrame, docs: DataFrame) -> DataFrame
         )
         .repartition("key", "part")
         .sortWithinPartitions("key", "part", F.desc("centre"), "label")
-        .mapInArrow(_agreeing, "hub long, label long")
+        .mapInArrow(partial(_agreeing, limit=limit), "hub long, label long")
         .distinct()
     )
 
 
-def _small_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _small_sketch(batches: Iterator[pa.RecordBatch], limit: Threshold) -> Iterator[pa.RecordBatch]:
     """Per document a byte for each bin of a finer signature, and its bucket keys."""
     for batch in blocks(batches, "text"):
         sets = shingle_sets(*as_arrays(batch.column("text")))
         small = [signature(s, SKETCH_BINS).astype(np.uint8).tobytes() if len(s) else None for s in sets]
-        homes = [band_keys(signature(s)[None]).tobytes() if len(s) else None for s in sets]
+        homes = [band_keys(signature(s)[None], limit).tobytes() if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(small, pa.binary()), pa.array(homes, pa.binary())],
             names=["label", "sketch", "homes"],
@@ -279,7 +313,7 @@ def _bytes(column: pa.Array, kind, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _agreeing(batches: Iterator[pa.RecordBatch], limit: Threshold) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key and part, centres first and by label.  A member meets the
     centres so far: of two centres the larger meets the smaller where it is a member.
     A pair that shares several buckets is told of in the first of them only."""
@@ -290,7 +324,7 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for c in ("key", "part", "centre", "member", "label", "n", "root")
         )
         sketches = _bytes(batch.column("sketch"), np.uint8, SKETCH_BINS)
-        homes = _bytes(batch.column("homes"), np.int64, BANDS)
+        homes = _bytes(batch.column("homes"), np.int64, limit.bands)
         rows = label, n, root, sketches, homes
         fresh = np.flatnonzero((np.diff(key) != 0) | (np.diff(part) != 0)) + 1
         bounds = [0, *fresh.tolist(), len(key)]
@@ -307,8 +341,8 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if not member[i]:
                     continue
                 small, large = np.minimum(hub_n, n[i]), np.maximum(hub_n, n[i])
-                may = np.flatnonzero((hub_root != root[i]) & (100 * small >= PERCENT * large))
-                may = may[(hub_sketches[may] == sketches[i]).sum(axis=1) >= SKETCH_AGREE]
+                may = np.flatnonzero((hub_root != root[i]) & (100 * small >= limit.percent * large))
+                may = may[(hub_sketches[may] == sketches[i]).sum(axis=1) >= limit.sketch_agree]
                 if len(may):
                     may = may[homes[i][(hub_homes[may] == homes[i]).argmax(axis=1)] == key[a]]
                     found.append(np.stack([np.minimum(hubs[may], label[i]), np.maximum(hubs[may], label[i])]))
@@ -316,18 +350,21 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["hub", "label"])
 
 
-def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
-    ``component_id`` is the smallest doc_id reachable over links of similarity 0.85
-    or more between distinct five-word shingles; ``kept`` marks that document.
+    ``component_id`` is the smallest doc_id reachable over links of similarity
+    ``percent`` in a hundred or more between distinct five-word shingles; ``kept`` marks that document.
     A text that is null or has no word has no shingles and is linked with nothing.
     Rows with the same doc_id are one document for linking, and repeated rows share
     their answer.  A row without a doc_id takes the component of documents with
     the same shingles; where there are none its component is null and it is kept.
     """
+    limit = Threshold(percent)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketches = stage(docs.mapInArrow(_sketch, SKETCH), "sketches")
+    sketches = stage(docs.mapInArrow(partial(_sketch, limit=limit), SKETCH), "sketches")
     same = ["set_a", "set_b", "n_shingles"]
     classes = stage(
         sketches.filter("n_shingles > 0")
@@ -346,17 +383,17 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "shared-buckets",
     )
     open_slots = stage(slots.join(shared, "key"), "slots")
-    tested = stage(_pairs(open_slots), "pairs")
-    links = [stage(_confirm(tested, docs), "confirmed")]
+    tested = stage(_pairs(open_slots, limit), "pairs")
+    links = [stage(_confirm(tested, docs, limit), "confirmed")]
     roots = connected(links[0])
     centres_each = FIRST_CENTRES
-    while found := _next_round(open_slots.select("key", "label", "n"), roots, docs, centres_each):
+    while found := _next_round(open_slots.select("key", "label", "n"), roots, docs, centres_each, limit):
         fresh, open_slots = found
         centres_each *= MORE_CENTRES
         pairs = stage(fresh.join(tested, ["hub", "label"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             tested = tested.unionByName(pairs)
-            links.append(stage(_confirm(pairs, docs), "confirmed"))
+            links.append(stage(_confirm(pairs, docs, limit), "confirmed"))
             if not links[-1].isEmpty():
                 roots = connected(reduce(DataFrame.unionByName, links))
     answers = stage(
@@ -378,8 +415,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+) -> DataFrame:
     """The rows of ``docs``, all columns, whose document is kept by ``components``."""
-    found = components(docs, id_col, text_col)
+    found = components(docs, id_col, text_col, percent)
     dropped = found.filter(~F.col("kept")).select("doc_id").distinct()
     return without_ids(docs, stage(dropped, "near-copies"), id_col)

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from orderwell.llm import exact_dedup, near_dedup
 from orderwell.llm.components import connected
 
@@ -138,3 +139,35 @@ def test_components_of_paths_stars_and_nothing(spark):
     got = {r.node: r.root for r in connected(links).collect()}
     assert got == {**{i: 100 for i in range(101, 141)}, **{i: 7 for i in range(200, 260)}, 9: 8}
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def between(similar_at_least, below, size=60, words=400):
+    """Pairs of texts whose shingle similarity lies between two bounds."""
+    rng, texts = random.Random(21), []
+    while len(texts) < 2 * size:
+        own = [f"w{rng.randrange(10**6)}" for _ in range(words)]
+        other = list(own)
+        for _ in range(rng.randrange(6, 24)):
+            other[rng.randrange(words)] = f"e{rng.randrange(10**6)}"
+        a, b = (brute.shingles(" ".join(t)) for t in (own, other))
+        if similar_at_least * len(a | b) <= 100 * len(a & b) < below * len(a | b):
+            texts += [" ".join(own), " ".join(other)]
+    return texts
+
+
+def test_links_from_eighty_percent(spark):
+    texts = between(80, 85) + between(70, 79, 20)
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    left = {r.doc_id for r in near_dedup.drop_near_copies(df, percent=80).collect()}
+    assert left == set(range(0, 120, 2)) | set(range(120, 160))
+    stage_of = dict(corpus_pipeline.STAGES)["near_dedup"]
+    assert {r.doc_id for r in stage_of(spark, df, "").collect()} == set(range(160))
+
+
+def test_bands_and_sketches_follow_the_threshold():
+    assert (near_dedup.BANDS, near_dedup.BAND_BINS, near_dedup.SKETCH_AGREE) == (36, 7, 1606)
+    for percent in (50, 80, 85, 95):
+        limit = near_dedup.Threshold(percent)
+        assert (1 - (percent / 100) ** limit.band_bins) ** limit.bands < 1e-6
+        assert limit.sketch_agree < percent / 100 * near_dedup.SKETCH_BINS
