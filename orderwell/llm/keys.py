@@ -1,4 +1,4 @@
-"""Keeping or dropping the rows of a large table by a table of ids."""
+"""Keeping the rows of a large table by a table of ids."""
 
 from __future__ import annotations
 
@@ -27,11 +27,6 @@ def only_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFra
     return _by_ids(docs, ids, id_col, "left_semi")
 
 
-def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows whose id is not in the stored table ``ids``; a null id is in no table."""
-    return _by_ids(docs, ids, id_col, "left_anti")
-
-
 def fresh_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores added until no column of ``df`` is called that."""
     taken = {c.lower() for c in df.columns}

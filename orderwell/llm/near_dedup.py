@@ -24,12 +24,12 @@ from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from orderwell.llm.components import connected
-from orderwell.llm.keys import only_ids, without_ids
+from orderwell.llm.keys import only_ids, send_if_small
 from orderwell.llm.text import as_arrays, blocks, mix, shingle_sets
 from orderwell.sources.tables import stage
 
@@ -76,7 +76,7 @@ class Threshold:
 DEFAULT = Threshold()
 BANDS, BAND_BINS, SKETCH_AGREE = DEFAULT.bands, DEFAULT.band_bins, DEFAULT.sketch_agree
 
-SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
+SKETCH = "doc_id long, text_a long, text_b long, n_shingles long, set_a long, set_b long, bands array<long>"
 
 
 def _densify(bins: np.ndarray, filled: np.ndarray) -> np.ndarray:
@@ -125,13 +125,13 @@ def _sketch(batches: Iterator[pa.RecordBatch], limit: Threshold) -> Iterator[pa.
         ends = np.concatenate([[0], np.cumsum(limit.bands * (sizes > 0))]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"),
+                *(batch.column(c) for c in ("doc_id", "text_a", "text_b")),
                 pa.array(sizes),
                 pa.array(marks[0].view(np.int64)),
                 pa.array(marks[1].view(np.int64)),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys)),
             ],
-            names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+            names=["doc_id", "text_a", "text_b", "n_shingles", "set_a", "set_b", "bands"],
         )
 
 
@@ -362,9 +362,23 @@ def components(
     their answer.  A row without a doc_id takes the component of documents with
     the same shingles; where there are none its component is null and it is kept.
     """
+    return _decided(docs, id_col, text_col, percent).drop(*TEXT_KEY)
+
+
+#: Tells rows with the same doc_id, or with none, apart by their text.
+TEXT_KEY = ["text_a", "text_b"]
+
+
+def _text_key(text: Column) -> list[Column]:
+    return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+
+
+def _decided(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """The rows of ``components`` with the key of their text."""
     limit = Threshold(percent)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketches = stage(docs.mapInArrow(partial(_sketch, limit=limit), SKETCH), "sketches")
+    keyed = docs.select("*", *[c.alias(n) for n, c in zip(TEXT_KEY, _text_key(F.col("text")))])
+    sketches = stage(keyed.mapInArrow(partial(_sketch, limit=limit), SKETCH), "sketches")
     same = ["set_a", "set_b", "n_shingles"]
     classes = stage(
         sketches.filter("n_shingles > 0")
@@ -403,12 +417,12 @@ def components(
         "answers",
     )
     alone = sketches.filter("n_shingles = 0").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
+        "doc_id", *TEXT_KEY, "n_shingles", F.col("doc_id").alias("component_id")
     )
     linked = (
         sketches.filter("n_shingles > 0")
         .join(answers, same)
-        .select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+        .select("doc_id", *TEXT_KEY, "n_shingles", F.col("component").alias("component_id"))
     )
     return linked.unionByName(alone).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
@@ -418,7 +432,15 @@ def components(
 def drop_near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, whose document is kept by ``components``."""
-    found = components(docs, id_col, text_col, percent)
-    dropped = found.filter(~F.col("kept")).select("doc_id").distinct()
-    return without_ids(docs, stage(dropped, "near-copies"), id_col)
+    """The rows of ``docs``, all columns, that ``components`` keeps.
+
+    Rows are told apart by doc_id and text: one without a doc_id goes if a document has
+    its shingles, and of a doc_id's several texts only those go that are not kept.
+    """
+    found = _decided(docs, id_col, text_col, percent)
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), *TEXT_KEY).distinct()
+    gone = send_if_small(stage(gone.withColumnsRenamed({c: f"_gone_{c}" for c in TEXT_KEY}), "near-copies"))
+    same = docs[id_col].cast("long").eqNullSafe(gone["_gone_id"])
+    for name, key in zip(TEXT_KEY, _text_key(docs[text_col])):
+        same &= key == gone[f"_gone_{name}"]
+    return docs.join(gone, same, "left_anti")

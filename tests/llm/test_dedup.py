@@ -171,3 +171,13 @@ def test_bands_and_sketches_follow_the_threshold():
         limit = near_dedup.Threshold(percent)
         assert (1 - (percent / 100) ** limit.band_bins) ** limit.bands < 1e-6
         assert limit.sketch_agree < percent / 100 * near_dedup.SKETCH_BINS
+
+
+def test_dropping_near_copies_goes_by_row(spark):
+    rng = random.Random(5)
+    a, b, c = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(3))
+    rows = [(1, a), (None, a), (None, a.upper()), (None, b), (None, b), (5, a), (5, c), (7, None), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = [tuple(r) for r in near_dedup.drop_near_copies(df).collect()]
+    kept = [(1, a), (None, b), (None, b), (5, c), (7, None), (None, None), (None, "")]
+    assert sorted(left, key=repr) == sorted(kept, key=repr)
