@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial, reduce
+from functools import cache, partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -76,7 +76,7 @@ class Threshold:
 DEFAULT = Threshold()
 BANDS, BAND_BINS, SKETCH_AGREE = DEFAULT.bands, DEFAULT.band_bins, DEFAULT.sketch_agree
 
-SKETCH = "doc_id long, text_a long, text_b long, n_shingles long, set_a long, set_b long, bands array<long>"
+SKETCH = "n_shingles long, set_a long, set_b long, bands array<long>"
 
 
 def _densify(bins: np.ndarray, filled: np.ndarray) -> np.ndarray:
@@ -103,10 +103,14 @@ def signature(shingles: np.ndarray, n_bins: int = BINS) -> np.ndarray:
     return _densify(bins, filled)
 
 
+@cache
+def _band_seeds(bands: int, width: int) -> np.ndarray:
+    return np.random.default_rng(5).integers(1, 2**63, (bands, width), dtype=np.uint64) | np.uint64(1)
+
+
 def band_keys(signatures: np.ndarray, limit: Threshold = DEFAULT) -> np.ndarray:
     """A bucket key per band for each row of bin minima; the band number is part of a key."""
-    shape = limit.bands, limit.band_bins
-    seeds = np.random.default_rng(5).integers(1, 2**63, shape, dtype=np.uint64) | np.uint64(1)
+    shape, seeds = (limit.bands, limit.band_bins), _band_seeds(limit.bands, limit.band_bins)
     used = signatures[:, : shape[0] * shape[1]].reshape(-1, *shape)
     keys = (mix(used) * seeds).sum(axis=2, dtype=np.uint64)
     return mix(keys + np.arange(shape[0], dtype=np.uint64)).view(np.int64)
@@ -117,6 +121,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], limit: Threshold) -> Iterator[pa.
         sets = shingle_sets(*as_arrays(batch.column("text")))
         sizes = np.array([len(s) for s in sets], dtype=np.int64)
         marks = np.zeros((2, len(sets)), dtype=np.uint64)
+        own = [c for c in batch.schema.names if c != "text"]
         signed = [signature(s) for s in sets if len(s)]
         keys = band_keys(np.array(signed), limit).ravel() if signed else np.zeros(0, np.int64)
         for i, s in enumerate(sets):
@@ -125,13 +130,13 @@ def _sketch(batches: Iterator[pa.RecordBatch], limit: Threshold) -> Iterator[pa.
         ends = np.concatenate([[0], np.cumsum(limit.bands * (sizes > 0))]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [
-                *(batch.column(c) for c in ("doc_id", "text_a", "text_b")),
+                *(batch.column(c) for c in own),
                 pa.array(sizes),
                 pa.array(marks[0].view(np.int64)),
                 pa.array(marks[1].view(np.int64)),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys)),
             ],
-            names=["doc_id", "text_a", "text_b", "n_shingles", "set_a", "set_b", "bands"],
+            names=[*own, "n_shingles", "set_a", "set_b", "bands"],
         )
 
 
@@ -362,7 +367,7 @@ def components(
     their answer.  A row without a doc_id takes the component of documents with
     the same shingles; where there are none its component is null and it is kept.
     """
-    return _decided(docs, id_col, text_col, percent).drop(*TEXT_KEY)
+    return _decided(docs, id_col, text_col, percent, [])
 
 
 #: Tells rows with the same doc_id, or with none, apart by their text.
@@ -373,12 +378,13 @@ def _text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
 
 
-def _decided(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """The rows of ``components`` with the key of their text."""
+def _decided(docs: DataFrame, id_col: str, text_col: str, percent: int, keys: list[str]) -> DataFrame:
+    """The rows of ``components``, with the key of their text if its names are given."""
     limit = Threshold(percent)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    keyed = docs.select("*", *[c.alias(n) for n, c in zip(TEXT_KEY, _text_key(F.col("text")))])
-    sketches = stage(keyed.mapInArrow(partial(_sketch, limit=limit), SKETCH), "sketches")
+    keyed = docs.select("*", *[c.alias(n) for n, c in zip(keys, _text_key(F.col("text")))])
+    schema = ", ".join([f"{c} long" for c in ("doc_id", *keys)] + [SKETCH])
+    sketches = stage(keyed.mapInArrow(partial(_sketch, limit=limit), schema), "sketches")
     same = ["set_a", "set_b", "n_shingles"]
     classes = stage(
         sketches.filter("n_shingles > 0")
@@ -417,12 +423,12 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataF
         "answers",
     )
     alone = sketches.filter("n_shingles = 0").select(
-        "doc_id", *TEXT_KEY, "n_shingles", F.col("doc_id").alias("component_id")
+        "doc_id", *keys, "n_shingles", F.col("doc_id").alias("component_id")
     )
     linked = (
         sketches.filter("n_shingles > 0")
         .join(answers, same)
-        .select("doc_id", *TEXT_KEY, "n_shingles", F.col("component").alias("component_id"))
+        .select("doc_id", *keys, "n_shingles", F.col("component").alias("component_id"))
     )
     return linked.unionByName(alone).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
@@ -437,7 +443,7 @@ def drop_near_copies(
     Rows are told apart by doc_id and text: one without a doc_id goes if a document has
     its shingles, and of a doc_id's several texts only those go that are not kept.
     """
-    found = _decided(docs, id_col, text_col, percent)
+    found = _decided(docs, id_col, text_col, percent, TEXT_KEY)
     gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), *TEXT_KEY).distinct()
     gone = send_if_small(stage(gone.withColumnsRenamed({c: f"_gone_{c}" for c in TEXT_KEY}), "near-copies"))
     same = docs[id_col].cast("long").eqNullSafe(gone["_gone_id"])
