@@ -96,9 +96,53 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+def crc32(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text, bit by bit."""
+    codes = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)"
+    step = "lambda x, i: xor(x >> 1, 3988292384 * (x & 1))"
+    byte = f"lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), {step})"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), {byte}), 4294967295)"
+
+
+PREFIX_TRIE = f"""
+WITH told AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place,
+         {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, count(*) AS n, {crc32("conv_id::VARCHAR")} % 9 AS h FROM told GROUP BY conv_id
+), taken AS (
+  SELECT c.conv_id, 0 AS side, place, t
+  FROM convs c JOIN told l ON l.conv_id = c.conv_id - c.conv_id % 5 AND place <= h
+  UNION ALL
+  SELECT c.conv_id, 1, place, t FROM convs c JOIN told l ON l.conv_id = c.conv_id AND place > h
+), rebuilt AS (
+  SELECT conv_id, coalesce(list(t ORDER BY side, place) FILTER (t IS NOT NULL), []) AS turns
+  FROM convs LEFT JOIN taken USING (conv_id) GROUP BY conv_id
+), beginnings AS (
+  SELECT conv_id, unnest(range(0, len(turns) + 1)) AS depth, turns FROM rebuilt
+), nodes AS (
+  SELECT turns[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (len(turns) = depth), '') AS ends,
+         CASE WHEN depth > 0 THEN strlen(any_value(turns[depth].text)) ELSE 0 END AS bytes
+  FROM beginnings GROUP BY path, depth
+), linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id,
+         (SELECT count(*) FROM nodes k WHERE k.depth = n.depth + 1 AND k.path[1:n.depth] = n.path) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]
+), subtrees AS (
+  SELECT path[1:up] AS path, up AS depth, count(*) FILTER (n_children = 0) AS n_leaves,
+         sum((n_convs - 1) * bytes)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM linked) GROUP BY 1, 2
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(ends) AS ends_sha256
+FROM linked JOIN subtrees USING (path, depth)
+"""
+
 ORACLE = {
     "op2_mixing": MIXING,
     "op3_exact_dedup": EXACT_DEDUP,
     "op4_near_dedup": NEAR_DEDUP,
     "op8_line_dedup": LINE_DEDUP,
+    "op11_prefix_trie": PREFIX_TRIE,
 }

@@ -15,6 +15,7 @@ from orderwell.llm import (
     mixing,
     near_dedup,
     pieces,
+    prefix_trie,
     token_counts,
     token_files,
     vector_dedup,
@@ -82,10 +83,20 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_copies(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(conversations(spark, sf_dir), prefix_trie.Lending())
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_mixing, op3_exact_dedup, op4_near_dedup, op5_token_files,
         op6_pieces, op7_token_counts, op8_line_dedup, op9_lm_scoring, op10_vector_dedup,
+        op11_prefix_trie,
     )
 }

@@ -105,3 +105,42 @@ def line_dedup(rows, min_chars=40, min_docs=5):
                 kept.append(line)
         found.append((doc_id, len(lines), len(lines) - len(kept), "\n".join(kept)))
     return sorted(found, key=repr)
+
+
+def told(rows):
+    """Turns (role, text) of each conversation in order; ties by a digest, as the trie has it."""
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            key = hashlib.md5(f"{len(role.encode())}:{role}{text}".encode()).digest()
+            own[conv].append(((turn is not None, turn or 0), key, (role, text)))
+    return {conv: [t for *_, t in sorted(turns, key=lambda x: x[:2])] for conv, turns in own.items()}
+
+
+def rebuilt(turns):
+    found = {}
+    for conv, own in turns.items():
+        h = zlib.crc32(str(conv).encode()) % 9
+        lender = abs(conv) // 5 * 5 * (1 if conv > 0 else -1)
+        found[conv] = turns.get(lender, [])[:h] + own[h:]
+    return found
+
+
+def trie(turns):
+    """Nodes of the conversations' beginnings, by trying every pair."""
+    members = defaultdict(set)
+    for conv, own in turns.items():
+        for d in range(len(own) + 1):
+            members[tuple(own[:d])].add(conv)
+    found = []
+    for path, convs in members.items():
+        below = [p for p in members if p[: len(path)] == path]
+        leaves = [p for p in below if not any(len(q) > len(p) and q[: len(p)] == p for q in below)]
+        ends = ",".join(str(c) for c in sorted(convs) if len(turns[c]) == len(path))
+        found.append((
+            min(convs), len(path), min(members[path[:-1]]) if path else None, len(convs),
+            sum(len(p) == len(path) + 1 for p in below), len(leaves),
+            sum((len(members[p]) - 1) * len(p[-1][1].encode()) for p in below if p), sha(ends),
+        ))
+    return sorted(found, key=repr)
