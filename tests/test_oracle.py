@@ -9,7 +9,7 @@ import __spark_entry__ as entry_points
 duckdb = pytest.importorskip("duckdb")
 
 SF = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem documents embeddings".split()
+TABLES = "region nation customer supplier part orders lineitem documents embeddings conversations".split()
 
 
 @pytest.fixture(scope="module")
