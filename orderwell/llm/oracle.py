@@ -139,10 +139,85 @@ SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_toke
 FROM linked JOIN subtrees USING (path, depth)
 """
 
+def _then(state: int, cost: str, edit: str, line: str | None) -> str:
+    """The best way on from ``v{state}`` with one more edit before it."""
+    v = f"v{state}"
+    lines = f"list_prepend({line}, {v}.lines)" if line else f"{v}.lines"
+    return f"{{'cost': {v}.cost + {cost}, 'audit': '{edit}' || {v}.audit, 'lines': {lines}}}"
+
+
+def _edited(state: int, to: dict[str, int]) -> str:
+    """Best edit of row r from a state; ``to``: states that roles lead to from it."""
+    ways = [_then(state, "4", "D", None)]
+    for letter, after in to.items():
+        role = {"u": "user", "a": "assistant"}.get(letter)
+        kept = _then(after, "3 * r.unended::INT", "K", "r.role || ':' || r.text")
+        ways.append(f"CASE WHEN r.initial = '{letter}' AND NOT r.doomed THEN {kept} END")
+        if role:
+            other = _then(after, "3 + 3 * r.unended::INT", "R", f"'{role}:' || r.text")
+            ways.append(f"CASE WHEN NOT r.doomed THEN {other} END")
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _inserted(source: str) -> str:
+    """``source`` with v0..v3 after an insertion or none, twice over: a third role put
+    in at one place leads where one alone does."""
+    for _ in range(2):
+        best = ", ".join(
+            f"list_min([v{s}, {_then(after, '3', 'I', repr(role + ':'))}]) AS v{s}"
+            for s, after, role in ((0, 2, "user"), (1, 2, "user"), (2, 3, "assistant"), (3, 2, "user"))
+        )
+        source = f"SELECT * REPLACE ({best}) FROM ({source})"
+    return source
+
+
+_NOTHING = "{'cost': 0::BIGINT, 'audit': '', 'lines': []::VARCHAR[]}"
+_NEVER = "{'cost': 1000000000::BIGINT, 'audit': '', 'lines': []::VARCHAR[]}"
+_NEXT = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+_EDITS = ", ".join(f"{_edited(s, to)} AS v{s}" for s, to in enumerate(_NEXT))
+
+TURN_REPAIR = f"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS h
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+         CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(0, CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM given
+), judged AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS initial,
+         row_number() OVER inside AS place, coalesce(lag(left(role, 1)) OVER inside || left(role, 1), 'su') AS pair,
+         rtrim(text, {_BLANKS}) = '' AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+         right(rtrim(text, {_BLANKS}), 1) NOT IN ('.', '!', '?') AS open_end
+  FROM damaged WINDOW inside AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)
+), rows_in AS (
+  SELECT *, blank OR again AS doomed, open_end AND NOT again AND NOT blank AS unended FROM judged
+), counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+         count(*) FILTER (unended) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows_in GROUP BY conv_id
+), ways AS (
+  {_inserted(f"SELECT conv_id, n AS place, {_NOTHING} AS v0, {_NEVER} AS v1, {_NEVER} AS v2, {_NOTHING} AS v3 FROM counted")}
+  UNION ALL
+  {_inserted(f"SELECT r.conv_id, r.place - 1 AS place, {_EDITS} FROM ways w JOIN rows_in r ON w.place = r.place AND w.conv_id IS NOT DISTINCT FROM r.conv_id")}
+)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(v0.cost, 0) AS cost,
+       coalesce(v0.audit, '') AS audit, sha256(coalesce(array_to_string(v0.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN ways w ON w.conv_id IS NOT DISTINCT FROM i.conv_id AND w.place = 0
+"""  # noqa: E501
+
 ORACLE = {
     "op2_mixing": MIXING,
     "op3_exact_dedup": EXACT_DEDUP,
     "op4_near_dedup": NEAR_DEDUP,
     "op8_line_dedup": LINE_DEDUP,
     "op11_prefix_trie": PREFIX_TRIE,
+    "op13_turn_repair": TURN_REPAIR,
 }

@@ -18,6 +18,7 @@ from orderwell.llm import (
     prefix_trie,
     token_counts,
     token_files,
+    turn_repair,
     vector_dedup,
 )
 from orderwell.llm.shipping import ship
@@ -92,11 +93,16 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(conversations(spark, sf_dir), prefix_trie.Lending())
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = conversations(spark, sf_dir)
+    return turn_repair.repair(turn_repair.damage(whole), known=whole)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_mixing, op3_exact_dedup, op4_near_dedup, op5_token_files,
         op6_pieces, op7_token_counts, op8_line_dedup, op9_lm_scoring, op10_vector_dedup,
-        op11_prefix_trie,
+        op11_prefix_trie, op13_turn_repair,
     )
 }

@@ -1,6 +1,8 @@
 """Plain Python versions of the operators' results, one row at a time."""
 
+import functools
 import hashlib
+import itertools
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -144,3 +146,105 @@ def trie(turns):
             sum((len(members[p]) - 1) * len(p[-1][1].encode()) for p in below if p), sha(ends),
         ))
     return sorted(found, key=repr)
+
+
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def damaged(rows):
+    found = []
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        at = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if at == 1:
+            text = ""
+        if at == 2:
+            text = re.sub("[.!?]", "", text)
+        found += [(conv, turn, "user" if at == 4 else role, text)] * {0: 0, 3: 2}.get(at, 1)
+    return found
+
+
+FOLLOW = {"": "su", "s": "u", "u": "a", "a": "u"}
+
+
+def repairs(rows):
+    """Least cost and audit of (initial, doomed, unended) rows: the best way on from a
+    row and the last role written, tried edit by edit, two insertions at a place."""
+
+    @functools.cache
+    def way(i, last, inserted):
+        ways = [(0, "")] if i == len(rows) and last in ("", "a") else []
+        if inserted < 2:
+            for role in FOLLOW[last].replace("s", ""):
+                ways.append(before(3, "I", way(i, role, inserted + 1)))
+        if i < len(rows):
+            initial, doomed, unended = rows[i]
+            ways.append(before(4, "D", way(i + 1, last, 0)))
+            for role in "" if doomed else FOLLOW[last]:
+                if role == initial:
+                    ways.append(before(3 * unended, "K", way(i + 1, role, 0)))
+                if role != "s":
+                    ways.append(before(3 + 3 * unended, "R", way(i + 1, role, 0)))
+        return min(ways, default=(10**9, ""))
+
+    def before(cost, edit, rest):
+        return rest[0] + cost, edit + rest[1]
+
+    return way(0, "", 0)
+
+
+def all_repairs(rows):
+    """The same by writing out every sequence of edits."""
+    gaps = [p for n in range(4) for p in itertools.product("ua", repeat=n)]
+    found = []
+    for puts in itertools.product(gaps, repeat=len(rows) + 1):
+        ways = [(0, "I" * len(puts[0]), "".join(puts[0]))]
+        ways[0] = (3 * len(puts[0]), *ways[0][1:])
+        for (initial, doomed, unended), put in zip(rows, puts[1:]):
+            more = [(4, "D", "")]
+            if not doomed:
+                more += [(3 * unended, "K", initial), *((3 + 3 * unended, "R", r) for r in "ua")]
+            ways = [
+                (c + d + 3 * len(put), a + e + "I" * len(put), r + s + "".join(put)) for c, a, r in ways for d, e, s in more
+            ]
+        found += [(c, a) for c, a, r in ways if re.fullmatch("(s?(ua)+)?", r)]
+    return min(found)
+
+
+def repaired_rows(audit, rows):
+    rows, last, found = iter(rows), "", []
+    for edit in audit:
+        role, text = ("", "") if edit == "I" else next(rows)
+        if edit == "K":
+            found.append((edit, role, text))
+        elif edit in "IR":
+            found.append((edit, "assistant" if last == "u" else "user", text))
+        last = found[-1][1][:1] if found else ""
+    return found
+
+
+def repair(rows, known=()):
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        key = hashlib.md5(f"{len(role.encode())}:{role}{text}".encode()).digest()
+        own[conv].append(((turn is not None, turn or 0), key, turn, role, text))
+    found = []
+    for conv in {*own, *known}:
+        turns = sorted(own.get(conv, []), key=lambda r: r[:2])
+        counts, kinds, seen, illegal = Counter(), [], set(), 0
+        for i, (*_, role, text) in enumerate(turns):
+            blank, again = not text.strip(SPACE), (role, text) in seen
+            ends = not blank and text.rstrip(SPACE)[-1] in ".!?"
+            kind = "blank" if blank else "duplicate" if again else "" if ends else "truncated"
+            counts[kind] += 1
+            seen.add((role, text))
+            kinds.append((role[:1], blank or again, kind == "truncated"))
+            illegal += i > 0 and kinds[-2][0] + kinds[-1][0] not in ("su", "ua", "au")
+        numbers = {t for _, _, t, *_ in turns if t is not None}
+        gaps = max(numbers) - min(numbers) + 1 - len(numbers) if numbers else 0
+        cost, audit = repairs(kinds)
+        lines = repaired_rows(audit, [(role, text) for *_, role, text in turns])
+        digest = sha("\n".join(f"{role}:{text}" for _, role, text in lines))
+        found.append((conv, gaps, counts["blank"], counts["duplicate"], counts["truncated"], illegal, cost, audit, digest))
+    return sorted(found, key=repr)

@@ -1,11 +1,15 @@
 import hashlib
+import itertools
 import random
+import re
+import tracemalloc
 
 import numpy as np
 import pytest
 
-from orderwell.llm import prefix_trie
+from orderwell.llm import prefix_trie, turn_repair
 from orderwell.llm.prefix_trie import Lending, Walk
+from orderwell.llm.turn_repair import Row, lightest
 
 from . import brute
 from .conftest import by_row
@@ -100,3 +104,76 @@ def test_walk_intersects_bitmaps():
         (3, 0, 3), (3, 1, 3), (3, 2, 2), (3, 3, 1), (9, 2, 1)
     ]
     assert len(walk.bitmaps) == 2  # turns that one conversation alone has need none
+
+
+REPAIRED = (
+    "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
+)
+
+
+def test_damage_matches_brute_force(talk_rows, talks):
+    got = by_row(turn_repair.damage(talk_rows), *CONVERSATION.replace(" long", "").replace(" string", "").split(", "))
+    assert got == sorted(brute.damaged(talks), key=repr)
+
+
+def test_repairs_match_brute_force(talk_rows, talks):
+    """All kinds of faults, null ids, turns, roles and texts, ties and repeated rows."""
+    got = by_row(turn_repair.repair(turn_repair.damage(talk_rows), known=talk_rows), *REPAIRED)
+    assert got == brute.repair(brute.damaged(talks), {r[0] for r in talks})
+    assert {c for r in got for c in r[7]} == set("DIKR")
+    assert None in {r[0] for r in got}
+    assert by_row(turn_repair.repair(talk_rows), *REPAIRED) == brute.repair(talks)
+
+
+def test_every_short_conversation_is_repaired_at_least_cost():
+    kinds = [Row(i, d, u) for i in "sua " for d, u in ((False, False), (True, False), (False, True))]
+    for n in range(3):
+        for rows in itertools.product(kinds, repeat=n):
+            assert lightest(rows) == brute.repairs(rows), rows
+            if n < 2 or rows[0].initial != rows[1].initial:
+                assert lightest(rows) == brute.all_repairs(rows), rows
+
+
+def test_long_conversations_are_repaired_at_least_cost():
+    rng = random.Random(5)
+    for _ in range(40):
+        rows = [Row(rng.choice("suua a"), rng.random() < 0.2, rng.random() < 0.3) for _ in range(rng.randrange(30))]
+        assert lightest(rows) == brute.repairs(rows)
+
+
+def test_a_conversation_of_very_many_rows_takes_little_memory():
+    rows = [_ROW_KINDS[i % 3] for i in range(60_000)]
+    tracemalloc.start()
+    cost, audit = lightest(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (cost, audit) == (80_000, "KKD" * 20_000)
+    assert peak < 60_000 * 600
+
+
+_ROW_KINDS = [Row("u", False, False), Row("a", False, False), Row("u", True, False)]
+
+
+def test_repaired_rows_are_legal_and_digested(talk_rows):
+    rows = turn_repair.damage(talk_rows)
+    written = turn_repair.repaired(rows).collect()
+    digests = {r.conv_id: (r.audit, r.repaired_sha256) for r in turn_repair.repair(rows).collect()}
+    lines = {conv: [] for conv in digests}
+    for r in sorted(written, key=lambda r: (str(r.conv_id), r.place)):
+        lines[r.conv_id].append(r)
+    for conv, own in lines.items():
+        audit, digest = digests[conv]
+        assert "".join(r.edit for r in own) == audit.replace("D", "")
+        assert re.fullmatch("(s?(ua)+)?", "".join(r.role[0] for r in own))
+        assert digest == brute.sha("\n".join(f"{r.role}:{r.text}" for r in own))
+
+
+def test_nothing_to_repair(spark):
+    none = spark.createDataFrame([], CONVERSATION)
+    assert turn_repair.repair(turn_repair.damage(none), known=none).count() == 0
+    only = spark.createDataFrame([(3,), (None,)], "conv_id long")
+    empty = brute.sha("")
+    assert by_row(turn_repair.repair(none, known=only), *REPAIRED) == [
+        (3, 0, 0, 0, 0, 0, 0, "", empty), (None, 0, 0, 0, 0, 0, 0, "", empty)
+    ]
+    assert turn_repair.repaired(none).count() == 0
