@@ -14,6 +14,7 @@ from orderwell.llm import (
     lm_scoring,
     mixing,
     near_dedup,
+    page_text,
     pieces,
     prefix_trie,
     token_counts,
@@ -93,6 +94,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(conversations(spark, sf_dir), prefix_trie.Lending())
 
 
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return page_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = conversations(spark, sf_dir)
     return turn_repair.repair(turn_repair.damage(whole), known=whole)
@@ -103,6 +109,6 @@ QUERIES = {
     for f in (
         op1_language_id, op2_mixing, op3_exact_dedup, op4_near_dedup, op5_token_files,
         op6_pieces, op7_token_counts, op8_line_dedup, op9_lm_scoring, op10_vector_dedup,
-        op11_prefix_trie, op13_turn_repair,
+        op11_prefix_trie, op12_page_text, op13_turn_repair,
     )
 }
