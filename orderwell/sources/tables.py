@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from orderwell.operators.merge import upsert
+from orderwell.operators.merge import applied, row_changes, upsert
 from orderwell.schema import SILVER_PARTITIONS
 
 
@@ -118,7 +118,7 @@ def merge_table(
     touched, emptied = _touched_partitions(target, source, keys, partition_by)
     if not touched:
         return
-    merged = upsert(_in_partitions(target, touched, partition_by), source, keys, newer_by)
+    merged = upsert(in_partitions(target, touched, partition_by), source, keys, newer_by)
     if newer_by is None:
         _overwrite_partitions(merged, path, partition_by)
     else:
@@ -132,12 +132,84 @@ def merge_table(
         _remove_directory(spark, path, row, partition_by)
 
 
+def find_changes(
+    source: DataFrame,
+    path: str,
+    keys: Sequence[str] = ("order_id",),
+    partition_by: Sequence[str] = SILVER_PARTITIONS,
+    newer_by: str | None = None,
+) -> DataFrame:
+    """``row_changes`` of merging ``source`` into the table at ``path``, which need not be
+    there yet.  Only partitions that hold one of the keys are read beyond their keys."""
+    spark, keys, partition_by = source.sparkSession, list(keys), list(partition_by)
+    if not table_exists(spark, path):
+        return row_changes(spark.createDataFrame([], source.schema), source, keys, newer_by)
+    target = spark.read.schema(source.schema).parquet(path)
+    incoming = source.select(*keys)
+    holding = target.select(*keys, *partition_by).join(incoming, keys, "left_semi")
+    places = _partitions(holding, partition_by)
+    old = in_partitions(target, places, partition_by) if places else target.limit(0)
+    return row_changes(old.join(incoming, keys, "left_semi"), source, keys, newer_by)
+
+
+def apply_changes(
+    changes: DataFrame,
+    path: str,
+    keys: Sequence[str] = ("order_id",),
+    partition_by: Sequence[str] = SILVER_PARTITIONS,
+) -> None:
+    """Brings the table at ``path`` to where stored ``row_changes`` lead.
+
+    Only partitions that gain or lose a row are rewritten, and emptied ones removed.
+    Doing it again, after a failure half way too, leaves the same table.
+    """
+    spark, keys, partition_by = changes.sparkSession, list(keys), list(partition_by)
+    done = applied(changes)
+    rows = done.select("after.*")
+    if not table_exists(spark, path):
+        write_table(rows, path, partition_by)
+        return
+    target = spark.read.schema(rows.schema).parquet(path)
+    gaining = _partitions(rows, partition_by)
+    images = done.filter(F.col("before").isNotNull()).select("before.*")
+    losing = without(_partitions(images, partition_by), gaining, partition_by)
+    if not gaining:
+        return
+    moved = done.select(*keys)
+    stay = in_partitions(target, [*gaining, *losing], partition_by).join(moved, keys, "left_anti")
+    emptied = losing
+    if losing:
+        rest = in_partitions(target, losing, partition_by).select(*keys, *partition_by)
+        emptied = without(losing, _partitions(rest.join(moved, keys, "left_anti"), partition_by), partition_by)
+    _overwrite_partitions(stay.unionByName(rows), path, partition_by)
+    for row in emptied:
+        _remove_directory(spark, path, row, partition_by)
+
+
+def without(rows: list[Row], others: list[Row], columns: Sequence[str]) -> list[Row]:
+    """``rows`` that do not share their values of ``columns`` with one of ``others``."""
+    gone = {_values(row, columns) for row in others}
+    return [row for row in rows if _values(row, columns) not in gone]
+
+
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: Sequence[str], places: list[Row]
+) -> None:
+    """Writes ``df`` in place of the partitions at ``places``; those that ``df`` has no
+    rows for are removed.  ``df`` may read the table itself."""
+    spark, partition_by = df.sparkSession, list(partition_by)
+    df = stage(df, "replaced")
+    _overwrite_partitions(df, path, partition_by)
+    for row in without(places, _partitions(df, partition_by), partition_by):
+        _remove_directory(spark, path, row, partition_by)
+
+
 def _partitions(df: DataFrame, partition_by: list[str]) -> list[Row]:
     # As many rows as the table has partitions: directory names, not data.
     return df.select(*partition_by).distinct().collect()
 
 
-def _values(row: Row, partition_by: list[str]) -> tuple:
+def _values(row: Row, partition_by: Sequence[str]) -> tuple:
     return tuple(row[c] for c in partition_by)
 
 
@@ -165,7 +237,7 @@ def _touched_partitions(
     return [*gaining, *losing], emptied
 
 
-def _in_partitions(df: DataFrame, rows: list[Row], partition_by: list[str]) -> DataFrame:
+def in_partitions(df: DataFrame, rows: list[Row], partition_by: list[str]) -> DataFrame:
     """``df`` limited to the given partitions, pruned at planning time.
 
     One membership test per leading value keeps the predicate short.
