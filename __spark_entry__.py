@@ -19,27 +19,44 @@ from orderwell.operators import dedup, dimensions, merge, quality  # noqa: E402
 from orderwell.operators.constraints import pk_violations  # noqa: E402
 from orderwell.operators.summaries import monthly_summary  # noqa: E402
 from orderwell.plans import questions, silver, star  # noqa: E402
-from orderwell.plans.retail import Layout, run, silver_as_of, silver_history  # noqa: E402
+from orderwell.plans.retail import (  # noqa: E402
+    Layout,
+    run,
+    silver_as_of,
+    silver_changes,
+    silver_history,
+)
 from orderwell.functions import title_case  # noqa: E402
 from orderwell.schema import ORDER_COLUMNS, ORDER_VALUE, SILVER_SCHEMA  # noqa: E402
 from orderwell.sources.entities import join_entities  # noqa: E402
 from orderwell.sources.feeds import (  # noqa: E402
+    read_files,
     read_orders,
     union_deliveries,
     write_delivery,
 )
+from orderwell.sources.files import list_files  # noqa: E402
 from orderwell.sources.tables import merge_table, scratch_path, stage, stage_once  # noqa: E402
+from orderwell.streaming.arrivals import load_arrivals  # noqa: E402
 
+TEXT_QUERIES, TEXT_ORACLE = {}, {}
 try:
-    from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL
-    from corpus_pipeline import run as run_pipeline
+    import orderwell.llm as _text
+except ModuleNotFoundError as error:  # the library stands without the text operators
+    if error.name != "orderwell.llm":
+        raise
+else:
     from orderwell.llm.oracle import ORACLE as TEXT_ORACLE
     from orderwell.llm.queries import QUERIES as TEXT_QUERIES
-except ImportError:  # the library stands without the text operators
-    TEXT_QUERIES, TEXT_ORACLE = {}, {}
+try:
+    import corpus_pipeline as _pipeline
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "orderwell.llm"):
+        raise
 else:
-    TEXT_QUERIES = {**TEXT_QUERIES, "pipeline": run_pipeline}
-    TEXT_ORACLE = TEXT_ORACLE | ({"pipeline": PIPELINE_SQL} if PIPELINE_SQL else {})
+    TEXT_QUERIES = {**TEXT_QUERIES, "pipeline": _pipeline.run}
+    if _pipeline.ORACLE_SQL:
+        TEXT_ORACLE = {**TEXT_ORACLE, "pipeline": _pipeline.ORACLE_SQL}
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 LANDED_AT = "2024-04-01 06:00:00"
@@ -308,15 +325,32 @@ def preview_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WAREHOUSES: dict[tuple[str, str], Layout] = {}
 
 
+def deliver(rows: DataFrame, path: str) -> None:
+    """Text rows as CSV files; the copies of an order come in one file, in the order
+    they arrived in, and rows without a number are spread."""
+    key = F.coalesce("order_id", F.col("src_seq").cast("string"))
+    dealt = rows.repartition(key).sortWithinPartitions("ingestion_ts", "src_seq")
+    audit = ["ingestion_ts", "src_seq"]
+    write_delivery(dealt.select(*[c for c in rows.columns if c not in [*audit, "keyed"]]), path)
+
+
+def _deliveries(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Two overlapping batches of the feed as folders of files, retries, rejects and
+    rows without a number included."""
+    paths = []
+    for batch in batches(landed_feed(spark, sf_dir)):
+        paths.append(scratch_path(spark, "delivery"))
+        deliver(batch, paths[-1])
+    return paths
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> Layout:
-    """A stored warehouse after two loads, by ``run`` from files written from all of
-    the feed, each load's first arrivals."""
+    """A stored warehouse after two loads, by ``run`` from files written from all rows
+    of the feed."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WAREHOUSES:
         out = scratch_path(spark, "warehouse")
-        for number, batch in enumerate(batches(landed_feed(spark, sf_dir))):
-            path = scratch_path(spark, "delivery")
-            write_delivery(dedup.first_arrival(batch).select(*ORDER_COLUMNS), path)
+        for number, path in enumerate(_deliveries(spark, sf_dir)):
             layout = run(spark, path, out, loaded_at=f"2024-04-0{number + 1} 06:00:00")
         _WAREHOUSES[key] = layout
     return _WAREHOUSES[key]
@@ -342,6 +376,58 @@ def warehouse_gold_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{warehouse(spark, sf_dir).of_load('gold', 1)}/monthly_by_category")
 
 
+def warehouse_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary that each load's changes were carried into."""
+    return spark.read.parquet(f"{warehouse(spark, sf_dir).table('monthly')}/by_category")
+
+
+def warehouse_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after the deliveries came again, in overlapping sets, by batch and stream."""
+    first, second = _deliveries(spark, sf_dir)
+    out = scratch_path(spark, "warehouse")
+    for source in (first, [second, first], first):
+        layout = run(spark, source, out, loaded_at="2024-04-01 06:00:00")
+    load_arrivals(spark, second, out).awaitTermination()
+    stored = spark.read.schema(SILVER_SCHEMA).parquet(layout.table("silver"))
+    return stored.select(*WAREHOUSE_COLUMNS)
+
+
+def warehouse_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change feed of three loads where the newest row wins: the second load is an
+    older replay, the third moves orders to another month."""
+    early, late = batches(landed_feed(spark, sf_dir))
+    moved = F.when(F.endswith("product_id", F.lit("7")), F.lit("2025-01-15")).otherwise(F.col("order_date"))
+    out = scratch_path(spark, "warehouse")
+    for day, rows in ((2, late), (1, early), (3, early.withColumn("order_date", moved))):
+        path = scratch_path(spark, "delivery")
+        deliver(rows, path)
+        layout = run(spark, path, out, loaded_at=f"2024-04-0{day} 06:00:00", newer_by="ingestion_ts")
+    images = [
+        F.col(f"{side}.{name}").alias(f"{side}_{name}")
+        for side in ("before", "after")
+        for name in ("order_date", "order_month", "total_order_value")
+    ]
+    return silver_changes(spark, layout).select("version", "order_id", "op", *images)
+
+
+def schema_drift_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three headers and a file that is no feed in one folder."""
+    feed = messy_orders(spark, sf_dir)
+    month, path = F.month("ingestion_ts"), scratch_path(spark, "drift")
+    narrow = feed.filter(month <= 4).select(
+        *[c for c in ORDER_COLUMNS if c not in ("category", "unit_price")]
+    )
+    turned = feed.filter((month > 4) & (month <= 8)).select(
+        F.concat(F.lit("web-"), "status").alias("channel"), *reversed(ORDER_COLUMNS)
+    )
+    usual = feed.filter(month > 8).select(*ORDER_COLUMNS)
+    for name, rows in (("a", narrow), ("b", turned), ("c", usual)):
+        write_delivery(rows, f"{path}/{name}")
+    feed.select(F.concat_ws("|", "product_id", "product_name")).distinct().write.text(f"{path}/notes")
+    files = [(row.delivery, row.file) for row in list_files(spark, path).collect()]
+    return read_files(spark, files, LANDED_AT).rows.select(*ORDER_COLUMNS, "channel")
+
+
 def revenue_by_category_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sales against the products of the first load."""
     first = silver.clean_orders(batches(landed_feed(spark, sf_dir))[0])
@@ -402,6 +488,10 @@ QUERIES: dict[str, Query] = {
     "warehouse_as_of": warehouse_as_of,
     "warehouse_history": warehouse_history,
     "warehouse_gold_monthly": warehouse_gold_monthly,
+    "warehouse_monthly": warehouse_monthly,
+    "warehouse_replayed": warehouse_replayed,
+    "warehouse_changes": warehouse_changes,
+    "schema_drift_files": schema_drift_files,
 }
 
 

@@ -274,6 +274,13 @@ merged AS (
   UNION ALL SELECT * FROM clean1
 )"""
 
+#: Merged orders with the values that the stored loads have.
+AS_STORED = """
+clean AS (
+  SELECT * REPLACE (CAST(total_order_value / (1 + version) AS DECIMAL(12,2)) AS total_order_value)
+  FROM merged
+)"""
+
 ORACLE: dict[str, str] = {
     "monthly_summary": summary("category"),
     "monthly_summary_by_region": summary("store_region"),
@@ -510,9 +517,46 @@ FROM (
   SELECT version, CASE WHEN order_id IN (SELECT order_id FROM clean0) THEN 'update' ELSE 'insert' END
   FROM clean1)
 GROUP BY version, op"""),
-    "warehouse_gold_monthly": on_batches(
-        MERGED,
-        "\nclean AS (SELECT * REPLACE (CAST(total_order_value / (1 + version) AS DECIMAL(12,2)) AS total_order_value) FROM merged)",
-        monthly("category"),
+    "warehouse_gold_monthly": on_batches(MERGED, AS_STORED, monthly("category")),
+    "warehouse_monthly": on_batches(MERGED, AS_STORED, monthly("category")),
+    "warehouse_replayed": on_batches(MERGED, f"SELECT {STORED} FROM merged"),
+    "warehouse_changes": on_batches(
+        "\nmoved AS (SELECT * REPLACE (CASE WHEN product_id LIKE '%7' THEN '2025-01-15' ELSE order_date END AS order_date) FROM batch0)",
+        first_rows("moved", "firsts2"), cleaned("firsts2", "standard2"), judged("standard2", "judged2"),
+        "\nclean2 AS (SELECT * FROM judged2 WHERE outcome = 'clean')",
+        """
+newest AS (SELECT * REPLACE (CAST(total_order_value / 2 AS DECIMAL(12,2)) AS total_order_value) FROM clean1)""",
+        """
+held AS (
+  SELECT * EXCLUDE (version) FROM newest
+  UNION ALL SELECT * EXCLUDE (version) FROM clean0 WHERE order_id NOT IN (SELECT order_id FROM newest)
+)""",
+        """
+steps AS (
+  SELECT 0 AS version, order_id, 'insert' AS op, NULL::DATE AS before_date, NULL::BIGINT AS before_m,
+    NULL::DOUBLE AS before_v, order_date AS after_date, order_month AS after_m, total_order_value AS after_v
+  FROM newest
+  UNION ALL
+  SELECT 1, c.order_id, CASE WHEN n.order_id IS NULL THEN 'insert' ELSE 'stale' END,
+    n.order_date, n.order_month, n.total_order_value, c.order_date, c.order_month, c.total_order_value
+  FROM clean0 c LEFT JOIN newest n ON c.order_id = n.order_id
+  UNION ALL
+  SELECT 2, c.order_id, CASE WHEN h.order_id IS NULL THEN 'insert' ELSE 'update' END,
+    h.order_date, h.order_month, h.total_order_value, c.order_date, c.order_month, c.total_order_value
+  FROM clean2 c LEFT JOIN held h ON c.order_id = h.order_id
+)""",
+        """
+SELECT version, order_id, op,
+  CAST(before_date AS VARCHAR) AS before_order_date, CAST(before_m AS INTEGER) AS before_order_month,
+  CAST(before_v AS DOUBLE) AS before_total_order_value,
+  CAST(after_date AS VARCHAR) AS after_order_date, CAST(after_m AS INTEGER) AS after_order_month,
+  CAST(after_v AS DOUBLE) AS after_total_order_value
+FROM steps""",
     ),
+    "schema_drift_files": chain(MESSY, """
+SELECT order_id, customer_id, product_id, product_name, quantity, discount_pct, order_date,
+  store_region, payment_method, status,
+  CASE WHEN m > 4 THEN category END AS category, CASE WHEN m > 4 THEN unit_price END AS unit_price,
+  CASE WHEN m > 4 AND m <= 8 THEN 'web-' || status END AS channel
+FROM (SELECT *, month(ingestion_ts) AS m FROM messy)"""),
 }
