@@ -9,6 +9,8 @@ bounded number of ids; a longer document continues in the next ones.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import reduce
@@ -21,29 +23,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orderwell.llm.text import blocks, exact_hashes
+from orderwell.llm.text import BLOCK_BYTES, blocks, exact_hashes
 from orderwell.sources.tables import scratch_path, stage
 
 SEGMENT_IDS = 1 << 19
 #: Words whose ids a worker remembers at most, and words encoded in one string.
 CACHE_WORDS, JOINED_WORDS = 800_000, 50
-#: Text whose distinct words are looked up together.
-BLOCK_BYTES = 4 << 20
 #: Words handed to the tokenizer at a time, which bounds what it holds besides.
-BATCH_WORDS = 10_000
+BATCH_WORDS = 5_000
 #: Shards per shuffle partition, and shards at most.
 SHARDS_EACH, MAX_SHARDS = 4, 1 << 16
-SELECT_STEP = 256
+SELECT_STEP = 64
 END_ID = 2
 
 
 class EliasFano:
     """A non-decreasing sequence in near-minimal space."""
 
-    def __init__(self, n: int, low_bits: int, low: bytes, high: bytes):
+    def __init__(self, n: int, low_bits: int, low: bytes, high: bytes, samples: bytes):
         self.n, self.low_bits, self.low, self.high = n, low_bits, low, high
-        ones = np.unpackbits(np.frombuffer(high, np.uint8), bitorder="little")
-        self._samples = np.flatnonzero(ones)[::SELECT_STEP].astype(np.uint32)
+        #: The place of every ``SELECT_STEP``-th one, stored with the rest.
+        self.samples = samples
+        self._samples = np.frombuffer(samples, "<u4")
 
     @classmethod
     def encode(cls, values: Sequence[int]) -> EliasFano:
@@ -60,6 +61,7 @@ class EliasFano:
             low_bits,
             np.packbits(low.astype(np.uint8).ravel(), bitorder="little").tobytes(),
             np.packbits(high, bitorder="little").tobytes(),
+            ones[::SELECT_STEP].astype("<u4").tobytes(),
         )
 
     def select(self, i: int) -> int:
@@ -107,6 +109,8 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # A task has a core of its own; threads would only hold memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -146,6 +150,13 @@ class WordEncoder:
         if not self.by_word:
             ids = [np.array(i, np.uint32) for i in self._encode(texts.to_pylist())]
             return _joined(ids), np.array([len(i) for i in ids], dtype=np.int64)
+        lengths = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        if len(texts) != 1 or lengths[0] <= BLOCK_BYTES:
+            return self._encode_block(texts)
+        found = [self._encode_block(pa.array([piece])) for piece in _cut(texts[0].as_py())]
+        return _joined([ids for ids, _ in found]), np.array([sum(int(n.sum()) for _, n in found)])
+
+    def _encode_block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words = pc.ascii_split_whitespace(texts)
         per_text = np.diff(words.offsets.to_numpy())
         coded = words.flatten().dictionary_encode()
@@ -184,6 +195,19 @@ class WordEncoder:
         return place
 
 
+def _cut(text: str) -> Iterator[str]:
+    """A long text in pieces of about ``BLOCK_BYTES`` characters that end before white
+    space, so that no word is cut; one long word is a piece."""
+    start = 0
+    while start < len(text):
+        gap = _SPACE.search(text, min(len(text), start + BLOCK_BYTES))
+        end = gap.start() if gap else len(text)
+        yield text[start:end]
+        start = end
+
+
+_SPACE = re.compile(r"[ \t-\r]")
+
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -203,7 +227,7 @@ def _encode_rows(tokenizer_path: str, end_id: int, width: int, bounds: np.ndarra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_path)
-        for batch in blocks(batches, "text", BLOCK_BYTES):
+        for batch in blocks(batches, "text"):
             ids, counts = encoder.encode(batch.column("text"))
             doc_ids = batch.column("doc_id")
             shards = np.searchsorted(bounds, doc_ids.fill_null(0).to_numpy(), side="right") + 1
@@ -232,7 +256,7 @@ def _encode_rows(tokenizer_path: str, end_id: int, width: int, bounds: np.ndarra
 
 SEGMENT = (
     "shard int, first_doc long, continues boolean, base long, doc_ids array<long>, "
-    "low_bits int, low binary, high binary, width int, n_ids long, ids binary"
+    "low_bits int, low binary, high binary, samples binary, width int, n_ids long, ids binary"
 )
 
 
@@ -266,7 +290,7 @@ class _SegmentWriter:
         row = dict(
             shard=self.shard, first_doc=self.first_doc, continues=self.continues, base=self.base,
             doc_ids=self.held, low_bits=bounds.low_bits, low=bounds.low, high=bounds.high,
-            width=self.width, n_ids=self.total, ids=b"".join(self.ids),
+            samples=bounds.samples, width=self.width, n_ids=self.total, ids=b"".join(self.ids),
         )
         self.base += self.total
         self._start(False)
@@ -278,7 +302,7 @@ def _build(width: int):
         [
             ("shard", pa.int32()), ("first_doc", pa.int64()), ("continues", pa.bool_()),
             ("base", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("low_bits", pa.int32()),
-            ("low", pa.binary()), ("high", pa.binary()), ("width", pa.int32()),
+            ("low", pa.binary()), ("high", pa.binary()), ("samples", pa.binary()), ("width", pa.int32()),
             ("n_ids", pa.int64()), ("ids", pa.binary()),
         ]
     )
@@ -352,12 +376,16 @@ def write(
     ).parquet(f"{path}/shards")
 
 
+def _bounds(row: dict) -> EliasFano:
+    return EliasFano(len(row["doc_ids"]), row["low_bits"], row["low"], row["high"], row["samples"])
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document of each segment: where its ids begin, how many, their CRC-32."""
     for batch in batches:
         for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
-            bounds = EliasFano(len(row["doc_ids"]), row["low_bits"], row["low"], row["high"])
-            ends = bounds.all()
+            bounds = _bounds(row)
+            ends = np.array([bounds.select(i) for i in range(bounds.n)], np.int64)
             starts = np.concatenate([[0], ends[:-1]])
             ids = np.frombuffer(row["ids"], f"<u{row['width']}")
             crcs = [
@@ -452,7 +480,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
-                bounds = EliasFano(len(row["doc_ids"]), row["low_bits"], row["low"], row["high"])
+                bounds = _bounds(row)
                 ids = np.frombuffer(row["ids"], f"<u{row['width']}").astype(np.int64)
                 ends = [bounds.select(i) for i in range(bounds.n)]
                 offsets = pa.array([0, *ends], pa.int32())

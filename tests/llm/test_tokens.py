@@ -1,3 +1,7 @@
+import os
+import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -203,3 +207,43 @@ def test_json_counts_and_special_strings():
     assert counter.counts(texts) == [
         len(e.ids) for e in counter.tokenizer.encode_batch(texts, add_special_tokens=False)
     ]
+
+
+def test_a_long_text_of_new_words_takes_bounded_memory():
+    """10 MB in one row, every word new: encoded in pieces, with the ids of the whole."""
+    script = """
+import random, resource
+import pyarrow as pa
+from orderwell.llm import token_files
+import public_tokenizers
+encoder = token_files.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+rng = random.Random(1)
+text = " ".join("".join(rng.choices("abcdefghij", k=9)) for _ in range(1_000_000))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+ids, counts = encoder.encode(pa.array([text]))
+assert counts.tolist() == [len(ids)]
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", script], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert int(done.stdout) < 300
+
+
+def test_long_texts_are_cut_between_words(monkeypatch):
+    rng = random.Random(3)
+    text = "".join(rng.choice(["word", "é", "x", " ", "\t", "\n ", "don't", "12"]) for _ in range(3000)) + "y" * 900
+    encoder = token_files.WordEncoder(WORD_PATH)
+    whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    monkeypatch.setattr(token_files, "BLOCK_BYTES", 100)
+    assert "".join(token_files._cut(text)) == text
+    ids, counts = encoder.encode(pa.array([text]))
+    assert ids.tolist() == whole and counts.tolist() == [len(whole)]
+
+
+def test_select_reads_stored_samples():
+    values = np.cumsum(np.random.default_rng(2).integers(0, 900, 5000))
+    made = token_files.EliasFano.encode(values)
+    read = token_files.EliasFano(made.n, made.low_bits, made.low, made.high, made.samples)
+    assert len(made.samples) == 4 * -(-5000 // token_files.SELECT_STEP)
+    assert [read.select(i) for i in range(5000)] == values.tolist() == read.all().tolist()
