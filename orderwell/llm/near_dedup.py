@@ -13,7 +13,9 @@ compared.  Within a bucket each class is paired with the smallest class alone (a
 star), which bounds pairs by rows.  Where a bucket then still holds several
 components, members outside the largest one become centres in turn, a growing number
 each round, and meet the members of other components only, until no pair that shares
-a bucket is open.
+a bucket is open.  Members and centres meet in blocks of bounded size that carry the
+whole sets of all but long documents, so links are confirmed there, and a block tells
+of no more than what joins its components; pairs with a long document become rows.
 """
 
 from __future__ import annotations
@@ -40,6 +42,12 @@ STAR_ROWS = 50
 #: as many in each round after it; members of a bucket that one task compares with them.
 FIRST_CENTRES, MORE_CENTRES = 512, 8
 PART_ROWS = 1000
+#: Centres that one task compares with a part's members at a time.
+BLOCK_CENTRES = 512
+#: Shingles of a set that is carried whole: as many as take the room of a sketch.
+WHOLE_SET = 256
+#: Different shingles of a block looked at together.
+BLOCK_SHINGLES = 4096
 #: One byte for each of 2048 bin minima foretells a similarity; pairs that agree in
 #: fewer than a pair at the threshold by so many standard deviations are compared no
 #: further.
@@ -228,8 +236,8 @@ def _pairs(rows: DataFrame, limit: Threshold) -> DataFrame:
 def _next_round(
     slots: DataFrame, roots: DataFrame, docs: DataFrame, centres_each: int, limit: Threshold
 ) -> tuple[DataFrame, DataFrame] | None:
-    """Pairs still to be checked in buckets that hold several components, and the
-    slots of those buckets without the centres used up; None if there are none.
+    """What buckets that hold several components tell of (see ``_met``), and the slots
+    of those buckets without the centres used up; None if there are none.
 
     Centres are the first members outside a bucket's largest component: once each of
     them has met every member of another component, no pair of the bucket is open.
@@ -246,7 +254,14 @@ def _next_round(
         .groupBy("key")
         .agg(F.max(F.struct("held", "root")).alias("top"), F.sum("held").alias("held"), F.count("*").alias("n"))
         .filter("n > 1")
-        .select("key", F.col("top.root").alias("main"), F.ceil(F.col("held") / PART_ROWS).cast("int").alias("parts")),
+        .select(
+            "key",
+            F.col("top.root").alias("main"),
+            F.ceil(F.col("held") / PART_ROWS).cast("int").alias("parts"),
+            F.ceil(F.least(F.col("held") - F.col("top.held"), F.lit(centres_each)) / BLOCK_CENTRES)
+            .cast("int")
+            .alias("blocks"),
+        ),
         "buckets-apart",
     )
     held = stage(placed.join(apart, "key"), "slots-apart")
@@ -257,102 +272,188 @@ def _next_round(
         held.filter("root <> main")
         .withColumn("place", first)
         .filter(F.col("place") <= centres_each)
-        .select("key", "label"),
+        .select("key", "label", F.floor((F.col("place") - 1) / BLOCK_CENTRES).cast("int").alias("block")),
         "centres",
     )
     left = held.select("key", "label", "n").join(centres, ["key", "label"], "left_anti")
-    return _foretold(held, centres, docs, limit), stage(left, "slots-left")
+    return _met(held, centres, docs, limit), stage(left, "slots-left")
 
 
-def _foretold(held: DataFrame, centres: DataFrame, docs: DataFrame, limit: Threshold) -> DataFrame:
-    """Pairs of a centre and a member of another component whose sketches agree.
+def _met(held: DataFrame, centres: DataFrame, docs: DataFrame, limit: Threshold) -> DataFrame:
+    """What comes of centres meeting the members of other components: ``hub`` and
+    ``label``, joined by confirmed links where ``sure``, else a pair to be confirmed.
 
-    A bucket's members are dealt out in parts of about ``PART_ROWS``, each with all
-    of this round's centres, and compared as blocks: only pairs worth confirming
-    become rows.
+    A bucket's members are dealt out in parts of about ``PART_ROWS``, its centres in
+    blocks of ``BLOCK_CENTRES``, and a task compares one part with one block.
     """
     ends = stage(held.select(F.col("label").alias("doc_id")).distinct(), "members")
     sketches = stage(
         only_ids(docs, ends)
-        .mapInArrow(partial(_small_sketch, limit=limit), "label long, sketch binary, homes binary")
-        .filter("sketch is not null"),
+        .mapInArrow(partial(_small_sketch, limit=limit), "label long, whole binary, sketch binary, homes binary")
+        .filter("whole is not null or sketch is not null"),
         "small-sketches",
     )
+    parts = F.sequence(F.lit(0), F.col("parts") - 1)
+    blocks_ = F.sequence(F.lit(0), F.col("blocks") - 1)
     own = F.pmod(F.xxhash64("label"), "parts").cast("int")
-    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    place = lambda part, block, centre: F.struct(part.alias("part"), block.alias("block"), F.lit(centre).alias("centre"))
+    as_member = F.transform(blocks_, lambda b: place(F.col("own"), b, False))
+    as_centre = F.transform(parts, lambda p: place(p, F.col("centre_block"), True))
     # A member is in a bucket per band at most: they meet its sketch as one row.
     members = (
-        held.join(centres.withColumn("centre", F.lit(True)), ["key", "label"], "left")
-        .withColumn("slot", F.struct("key", "parts", F.coalesce("centre", F.lit(False)).alias("centre")))
+        held.join(centres.withColumnRenamed("block", "centre_block"), ["key", "label"], "left")
+        .withColumn("slot", F.struct("key", "parts", "blocks", "centre_block"))
         .groupBy("label")
         .agg(F.any_value("n").alias("n"), F.any_value("root").alias("root"), F.collect_list("slot").alias("slots"))
     )
     return (
         members.join(sketches, "label")
-        .select("label", "n", "root", "sketch", "homes", F.inline("slots"))
-        .withColumns({"own": own, "part": F.explode(F.when(F.col("centre"), every).otherwise(F.array(own)))})
-        .select(
-            "key", "part", "centre", (F.col("part") == F.col("own")).alias("member"),
-            "label", "n", "root", "sketch", "homes",
+        .select("label", "n", "root", "whole", "sketch", "homes", F.inline("slots"))
+        .withColumn("own", own)
+        .withColumn(
+            "at", F.explode(F.when(F.col("centre_block").isNull(), as_member).otherwise(F.concat(as_member, as_centre)))
         )
-        .repartition("key", "part")
-        .sortWithinPartitions("key", "part", F.desc("centre"), "label")
-        .mapInArrow(partial(_agreeing, limit=limit), "hub long, label long")
+        .select("key", "at.part", "at.block", "at.centre", "label", "n", "root", "whole", "sketch", "homes")
+        .repartition("key", "part", "block")
+        .sortWithinPartitions("key", "part", "block", F.desc("centre"), "label")
+        .mapInArrow(partial(_meetings, limit=limit), "hub long, label long, sure boolean")
         .distinct()
-    )
+    )
 
 
 def _small_sketch(batches: Iterator[pa.RecordBatch], limit: Threshold) -> Iterator[pa.RecordBatch]:
-    """Per document a byte for each bin of a finer signature, and its bucket keys."""
+    """Per document its whole set, unless that is long; for long ones, and those that
+    may be linked with one, a byte for each bin of a finer signature and bucket keys."""
     for batch in blocks(batches, "text"):
         sets = shingle_sets(*as_arrays(batch.column("text")))
-        small = [signature(s, SKETCH_BINS).astype(np.uint8).tobytes() if len(s) else None for s in sets]
-        homes = [band_keys(signature(s)[None], limit).tobytes() if len(s) else None for s in sets]
+        may_meet_long = [100 * len(s) >= limit.percent * (WHOLE_SET + 1) for s in sets]
+        whole = [s.tobytes() if 0 < len(s) <= WHOLE_SET else None for s in sets]
+        small = [
+            signature(s, SKETCH_BINS).astype(np.uint8).tobytes() if may else None for s, may in zip(sets, may_meet_long)
+        ]
+        homes = [band_keys(signature(s)[None], limit).tobytes() if may else None for s, may in zip(sets, may_meet_long)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(small, pa.binary()), pa.array(homes, pa.binary())],
-            names=["label", "sketch", "homes"],
+            [batch.column("doc_id"), *(pa.array(x, pa.binary()) for x in (whole, small, homes))],
+            names=["label", "whole", "sketch", "homes"],
         )
 
 
-def _bytes(column: pa.Array, kind, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
+class _Side:
+    """Rows of one side of a block: numbers as arrays, sets and sketches as lists."""
 
+    def __init__(self):
+        self.label, self.n, self.root = (np.zeros(0, np.int64) for _ in range(3))
+        self.whole, self.sketch, self.homes = [], [], []
 
-def _agreeing(batches: Iterator[pa.RecordBatch], limit: Threshold) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key and part, centres first and by label.  A member meets the
-    centres so far: of two centres the larger meets the smaller where it is a member.
-    A pair that shares several buckets is told of in the first of them only."""
+    def add(self, columns: dict, a: int, b: int) -> None:
+        for name in ("label", "n", "root"):
+            setattr(self, name, np.concatenate([getattr(self, name), columns[name][a:b]]))
+        for name in ("whole", "sketch", "homes"):
+            getattr(self, name).extend(columns[name][a:b])
+
+    def having(self, name: str) -> np.ndarray:
+        return np.array([i for i, x in enumerate(getattr(self, name)) if x is not None], np.int64)
+
+
+def _meetings(batches: Iterator[pa.RecordBatch], limit: Threshold) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key, part and block, centres first: each run of members meets the
+    centres of its block."""
     current, centres = None, None
     for batch in batches:
-        key, part, centre, member, label, n, root = (
-            batch.column(c).to_numpy(zero_copy_only=False)
-            for c in ("key", "part", "centre", "member", "label", "n", "root")
-        )
-        sketches = _bytes(batch.column("sketch"), np.uint8, SKETCH_BINS)
-        homes = _bytes(batch.column("homes"), np.int64, limit.bands)
-        rows = label, n, root, sketches, homes
-        fresh = np.flatnonzero((np.diff(key) != 0) | (np.diff(part) != 0)) + 1
-        bounds = [0, *fresh.tolist(), len(key)]
-        found = [np.zeros((2, 0), np.int64)]
+        columns = {
+            c: batch.column(c).to_numpy(zero_copy_only=False)
+            for c in ("key", "part", "block", "centre", "label", "n", "root")
+        }
+        columns |= {c: batch.column(c).to_pylist() for c in ("whole", "sketch", "homes")}
+        places = np.stack([columns[c] for c in ("key", "part", "block")])
+        bounds = [0, *(np.flatnonzero((np.diff(places) != 0).any(axis=0)) + 1).tolist(), batch.num_rows]
+        found = []
         for a, b in zip(bounds[:-1], bounds[1:]):
             if a == b:
                 continue
-            if (key[a], part[a]) != current:
-                current, centres = (key[a], part[a]), [c[:0] for c in rows]
-            last_centre = a + int(centre[a:b].astype(bool).sum())
-            centres = [np.concatenate([old, c[a:last_centre]]) for old, c in zip(centres, rows)]
-            hubs, hub_n, hub_root, hub_sketches, hub_homes = centres
-            for i in range(a, b):
-                if not member[i]:
-                    continue
-                small, large = np.minimum(hub_n, n[i]), np.maximum(hub_n, n[i])
-                may = np.flatnonzero((hub_root != root[i]) & (100 * small >= limit.percent * large))
-                may = may[(hub_sketches[may] == sketches[i]).sum(axis=1) >= limit.sketch_agree]
-                if len(may):
-                    may = may[homes[i][(hub_homes[may] == homes[i]).argmax(axis=1)] == key[a]]
-                    found.append(np.stack([np.minimum(hubs[may], label[i]), np.maximum(hubs[may], label[i])]))
-        pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["hub", "label"])
+            here = tuple(places[:, a].tolist())
+            if here != current:
+                current, centres = here, _Side()
+            last = a + int(columns["centre"][a:b].astype(bool).sum())
+            centres.add(columns, a, last)
+            members = _Side()
+            members.add(columns, last, b)
+            if len(members.label) and len(centres.label):
+                found.append(_joined(members, centres, limit))
+                found.append(_foretold(members, centres, limit, here[0]))
+        pairs = np.unique(np.concatenate([np.zeros((3, 0), np.int64), *found], axis=1), axis=1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(pairs[0]), pa.array(pairs[1]), pa.array(pairs[2].astype(bool))], names=["hub", "label", "sure"]
+        )
+
+
+def _joined(members: _Side, centres: _Side, limit: Threshold) -> np.ndarray:
+    """Roots that links between whole sets join, each with the smallest one joined to
+    it in this block: no more rows than the block has components."""
+    m, c = members.having("whole"), centres.having("whole")
+    if not len(m) or not len(c):
+        return np.zeros((3, 0), np.int64)
+    both = _common(*([np.frombuffer(side.whole[i], np.uint64) for i in at] for side, at in ((members, m), (centres, c))))
+    n = members.n[m][:, None] + centres.n[c][None, :]
+    root_m, root_c = members.root[m], centres.root[c]
+    linked = (100 * both >= limit.percent * (n - both)) & (root_m[:, None] != root_c[None, :])
+    roots, at = np.unique(np.concatenate([root_m, root_c]), return_inverse=True)
+    lowest, far = np.arange(len(roots)), len(roots)
+    while True:  # the smallest root that can be reached, a link further each time
+        before = lowest.copy()
+        np.minimum.at(lowest, at[: len(m)], np.where(linked, lowest[at[len(m) :]][None, :], far).min(axis=1))
+        np.minimum.at(lowest, at[len(m) :], np.where(linked, lowest[at[: len(m)]][:, None], far).min(axis=0))
+        if (lowest == before).all():
+            break
+    moved = np.flatnonzero(lowest != np.arange(len(roots)))
+    return np.stack([roots[lowest[moved]], roots[moved], np.ones(len(moved), np.int64)])
+
+
+def _common(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of the one list shares with each of the other, as
+    products of incidence matrices over the elements that occur on both sides."""
+    flat = [np.concatenate(sets) for sets in (one, other)]
+    owner = [np.repeat(np.arange(len(sets)), [len(s) for s in sets]) for sets in (one, other)]
+    shared = np.intersect1d(np.unique(flat[0]), np.unique(flat[1]), assume_unique=True)
+    both = np.zeros((len(one), len(other)), np.float32)
+    if not len(shared):
+        return both.astype(np.int64)
+    at = [np.minimum(np.searchsorted(shared, f), len(shared) - 1) for f in flat]
+    kept = [shared[a] == f for a, f in zip(at, flat)]
+    at, owner = [a[k] for a, k in zip(at, kept)], [o[k] for o, k in zip(owner, kept)]
+    for first in range(0, len(shared), BLOCK_SHINGLES):
+        sides = []
+        for places, own, n in zip(at, owner, both.shape):
+            here = (places >= first) & (places < first + BLOCK_SHINGLES)
+            side = np.zeros((n, min(BLOCK_SHINGLES, len(shared) - first)), np.float32)
+            side[own[here], places[here] - first] = 1
+            sides.append(side)
+        both += sides[0] @ sides[1].T
+    return both.astype(np.int64)
+
+
+def _foretold(members: _Side, centres: _Side, limit: Threshold, key: int) -> np.ndarray:
+    """Pairs with a long document whose sketches agree, to be confirmed on full sets.
+    A pair that shares several buckets is told of in the first of them only."""
+    found = [np.zeros((3, 0), np.int64)]
+    at = centres.having("sketch")
+    if not len(at):
+        return found[0]
+    hubs, hub_n, hub_root = centres.label[at], centres.n[at], centres.root[at]
+    hub_sketches = np.frombuffer(b"".join(centres.sketch[i] for i in at), np.uint8).reshape(-1, SKETCH_BINS)
+    hub_homes = np.frombuffer(b"".join(centres.homes[i] for i in at), np.int64).reshape(-1, limit.bands)
+    hub_long = np.array([centres.whole[i] is None for i in at])
+    for i in members.having("sketch").tolist():
+        n, homes = members.n[i], np.frombuffer(members.homes[i], np.int64)
+        may = (hub_root != members.root[i]) & (100 * np.minimum(hub_n, n) >= limit.percent * np.maximum(hub_n, n))
+        may = np.flatnonzero(may & (hub_long | (members.whole[i] is None)))
+        agree = (hub_sketches[may] == np.frombuffer(members.sketch[i], np.uint8)).sum(axis=1)
+        may = may[agree >= limit.sketch_agree]
+        if len(may):
+            may = may[homes[(hub_homes[may] == homes).argmax(axis=1)] == key]
+            ends = np.minimum(hubs[may], members.label[i]), np.maximum(hubs[may], members.label[i])
+            found.append(np.stack([*ends, np.zeros(len(may), np.int64)]))
+    return np.concatenate(found, axis=1)
 
 
 def components(
@@ -408,14 +509,21 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, percent: int, keys: li
     roots = connected(links[0])
     centres_each = FIRST_CENTRES
     while found := _next_round(open_slots.select("key", "label", "n"), roots, docs, centres_each, limit):
-        fresh, open_slots = found
+        met, open_slots = found
+        met = stage(met, "met")
         centres_each *= MORE_CENTRES
-        pairs = stage(fresh.join(tested, ["hub", "label"], "left_anti"), "pairs")
+        sure = stage(met.filter("sure").select(F.col("hub").alias("a"), F.col("label").alias("b")), "confirmed")
+        pairs = stage(
+            met.filter("not sure").select("hub", "label").join(tested, ["hub", "label"], "left_anti"), "pairs"
+        )
+        fresh = [sure]
         if not pairs.isEmpty():
             tested = tested.unionByName(pairs)
-            links.append(stage(_confirm(pairs, docs, limit), "confirmed"))
-            if not links[-1].isEmpty():
-                roots = connected(reduce(DataFrame.unionByName, links))
+            fresh.append(stage(_confirm(pairs, docs, limit), "confirmed"))
+        fresh = [found for found in fresh if not found.isEmpty()]
+        if fresh:
+            links += fresh
+            roots = connected(reduce(DataFrame.unionByName, links))
     answers = stage(
         classes.select(*same, "label")
         .join(roots.withColumnRenamed("node", "label"), "label", "left")

@@ -181,3 +181,37 @@ def test_dropping_near_copies_goes_by_row(spark):
     left = [tuple(r) for r in near_dedup.drop_near_copies(df).collect()]
     kept = [(1, a), (None, b), (None, b), (5, c), (7, None), (None, None), (None, "")]
     assert sorted(left, key=repr) == sorted(kept, key=repr)
+
+
+def test_blocks_confirm_on_whole_sets():
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    pool = [np.unique(rng.integers(0, 400, rng.integers(1, 60)).astype(np.uint64)) for _ in range(50)]
+    one, other = pool[:30], pool[30:]
+    exact = [[len(np.intersect1d(a, b)) for b in other] for a in one]
+    assert near_dedup._common(one, other).tolist() == exact
+    assert near_dedup._common([one[0]], [np.array([10**6], np.uint64)]).tolist() == [[0]]
+
+
+def test_many_unlike_members_of_a_bucket_meet_in_blocks(spark, monkeypatch):
+    """Texts that share buckets but not enough shingles, some of them linked in twos and
+    in chains, some longer than a set that is carried whole."""
+    for name, value in (("FIRST_CENTRES", 2), ("MORE_CENTRES", 3), ("BLOCK_CENTRES", 2), ("PART_ROWS", 4)):
+        monkeypatch.setattr(near_dedup, name, value)
+    rng = random.Random(12)
+    rows = []
+    for length in (150, 240, 420):
+        base = [f"w{length}x{i}" for i in range(length)]
+        for i in range(30):
+            own = list(base)
+            for at in rng.sample(range(length), length // 18):  # about 0.6 between two of them
+                own[at] = f"e{rng.randrange(10**9)}"
+            rows.append((len(rows), " ".join(own)))
+            if i % 3 == 0:
+                own[0] = f"f{i}"
+                rows.append((len(rows), " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = by_row(near_dedup.components(df), *NEAR)
+    assert got == near_brute(rows)
+    assert 0 < sum(not r[3] for r in got) < 60
