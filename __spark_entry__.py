@@ -14,8 +14,8 @@ from pyspark.sql.types import ArrayType, DateType, DecimalType, TimestampNTZType
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle.sql import ORACLE  # noqa: E402
-from orderwell.messy_orders import batches, messy_entities, messy_orders  # noqa: E402
-from orderwell.operators import dedup, dimensions, merge, quality  # noqa: E402
+from orderwell.messy_orders import batches, harsher, messy_entities, messy_orders  # noqa: E402
+from orderwell.operators import dedup, dimensions, merge, quality, validity  # noqa: E402
 from orderwell.operators.constraints import pk_violations  # noqa: E402
 from orderwell.operators.summaries import monthly_summary  # noqa: E402
 from orderwell.plans import questions, silver, star  # noqa: E402
@@ -428,6 +428,79 @@ def schema_drift_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_files(spark, files, LANDED_AT).rows.select(*ORDER_COLUMNS, "channel")
 
 
+def judged_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the harsher feed with its value, outcome and all reasons."""
+    rows = silver.judged_rows(harsher(messy_orders(spark, sf_dir)))
+    return rows.select(
+        "order_id", "src_seq", "quantity", "unit_price", "discount_pct", "total_order_value", "outcome", "reasons"
+    )
+
+
+def bronze_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with values too many, too few or cut by a stray quote, and those that fit."""
+    feed, kind = messy_orders(spark, sf_dir), F.col("src_seq") % 7
+    number = F.coalesce("order_id", F.lit(""))
+    line = F.concat_ws(",", number, "product_id", "status")
+    lines = feed.select(
+        F.pmod(F.xxhash64("src_seq"), F.lit(4)).alias("part"),
+        F.lit(1).alias("rank"),
+        F.when(kind == 1, F.concat(line, F.lit(",more")))
+        .when(kind == 2, F.concat_ws(",", number, "product_id"))
+        .when(kind == 3, F.concat(number, F.lit(',"'), F.concat_ws(",", "product_id", "status")))
+        .otherwise(line)
+        .alias("value"),
+    )
+    header = F.lit("order_id,product_id,status").alias("value")
+    heads = lines.select("part").distinct().select("part", F.lit(0).alias("rank"), header)
+    path = scratch_path(spark, "malformed")
+    # A file per part, its header first.
+    files = heads.unionByName(lines).repartition("part").sortWithinPartitions("part", "rank")
+    files.select("part", "value").write.partitionBy("part").text(path)
+    return read_orders(spark, path, LANDED_AT).select(
+        F.coalesce("raw_line", F.concat_ws(",", F.coalesce("order_id", F.lit("")), "product_id", "status")).alias("line"),
+        "malformed",
+    )
+
+
+def dedup_across_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First arrivals of one load of three deliveries, the latest rows in the first."""
+    feed, paths = messy_orders(spark, sf_dir), []
+    third = F.month("ingestion_ts") % 3
+    root = scratch_path(spark, "deliveries")
+    for number in range(3):
+        paths.append(f"{root}/{number}")
+        deliver(feed.filter(third == 2 - number), paths[-1])
+    landed = read_orders(spark, paths, LANDED_AT)
+    return dedup.first_arrival(landed).select("order_id", "product_id", "quantity", "unit_price", "delivery")
+
+
+def dim_customer_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dimensions.customer_intervals(stored_silver(spark, sf_dir))
+
+
+def revenue_by_region_then(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = stored_silver(spark, sf_dir)
+    return questions.revenue_by_region_then(clean, dimensions.customer_intervals(clean))
+
+
+def _payments(clean: DataFrame) -> DataFrame:
+    known, paid = F.col("payment_method").isNotNull(), ["payment_method"]
+    last = dimensions.one_row_per_key(clean, "customer_id", paid, known)
+    return validity.intervals(clean, "customer_id", paid, known, last)
+
+
+def payment_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How customers paid, and when: an attribute that changes often."""
+    return _payments(stored_silver(spark, sf_dir))
+
+
+def orders_with_payment_then(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order once, with how its buyer paid at the time."""
+    clean = stored_silver(spark, sf_dir)
+    orders = clean.select("order_id", "customer_id", "order_date")
+    return validity.attributes_as_of(orders, _payments(clean), "customer_id", ["payment_method"])
+
+
 def revenue_by_category_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sales against the products of the first load."""
     first = silver.clean_orders(batches(landed_feed(spark, sf_dir))[0])
@@ -492,6 +565,13 @@ QUERIES: dict[str, Query] = {
     "warehouse_replayed": warehouse_replayed,
     "warehouse_changes": warehouse_changes,
     "schema_drift_files": schema_drift_files,
+    "judged_faults": judged_faults,
+    "bronze_malformed": bronze_malformed,
+    "dedup_across_deliveries": dedup_across_deliveries,
+    "dim_customer_intervals": dim_customer_intervals,
+    "revenue_by_region_then": revenue_by_region_then,
+    "payment_intervals": payment_intervals,
+    "orders_with_payment_then": orders_with_payment_then,
 }
 
 

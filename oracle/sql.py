@@ -281,6 +281,47 @@ clean AS (
   FROM merged
 )"""
 
+HARSHER = """
+harsh AS (
+  SELECT * REPLACE (
+    CASE WHEN src_seq % 17 = 0 THEN 'ten' WHEN src_seq % 19 = 0 THEN '150'
+         WHEN src_seq % 23 = 0 THEN '12.34567' ELSE discount_pct END AS discount_pct,
+    CASE WHEN src_seq % 29 = 0 THEN '0.004' WHEN src_seq % 31 = 0 THEN '19.98765'
+         WHEN src_seq % 37 = 0 THEN '99999999.99' WHEN src_seq % 47 = 0 THEN ' ' ELSE unit_price END AS unit_price,
+    CASE WHEN src_seq % 37 = 0 THEN '2000000000' WHEN src_seq % 59 = 0 THEN ' ' ELSE quantity END AS quantity)
+  FROM messy
+)"""
+
+def spans_of(attribute: str, known: str) -> str:
+    """What held of each customer, and when, from the days that tell of it."""
+    return f"""
+days AS (
+  SELECT customer_id, order_date, arg_min({attribute}, order_id) AS {attribute} FROM clean
+  WHERE order_date IS NOT NULL AND {known} GROUP BY customer_id, order_date
+), turns AS (
+  SELECT *, lag({attribute}) OVER (PARTITION BY customer_id ORDER BY order_date) IS DISTINCT FROM {attribute} AS fresh
+  FROM days
+), spans AS (
+  SELECT customer_id, {attribute}, order_date AS valid_from,
+    lead(order_date) OVER told AS valid_to, row_number() OVER told AS nth
+  FROM turns WHERE fresh WINDOW told AS (PARTITION BY customer_id ORDER BY order_date)
+  UNION ALL
+  SELECT customer_id, {attribute}, NULL, NULL, 1 FROM held_last
+  WHERE customer_id NOT IN (SELECT customer_id FROM days)
+)"""
+
+
+INTERVALS = spans_of("store_region", "store_region <> 'Unknown'")
+PAYMENTS = spans_of("payment_method", "payment_method IS NOT NULL")
+HELD_REGION = customers_of("clean", "held_last")
+HELD_PAYMENT = dim("clean", "held_last", "customer_id", "payment_method", "payment_method IS NOT NULL")
+
+#: Each order beside what held of its buyer on its day.
+THEN = """
+clean.customer_id = s.customer_id
+  AND coalesce(order_date, DATE '9999-01-01') >= coalesce(CASE WHEN nth > 1 THEN valid_from END, DATE '0001-01-01')
+  AND coalesce(order_date, DATE '9999-01-01') < coalesce(valid_to, DATE '9999-12-31')"""
+
 ORACLE: dict[str, str] = {
     "monthly_summary": summary("category"),
     "monthly_summary_by_region": summary("store_region"),
@@ -559,4 +600,69 @@ SELECT order_id, customer_id, product_id, product_name, quantity, discount_pct,
   CASE WHEN m > 4 THEN category END AS category, CASE WHEN m > 4 THEN unit_price END AS unit_price,
   CASE WHEN m > 4 AND m <= 8 THEN 'web-' || status END AS channel
 FROM (SELECT *, month(ingestion_ts) AS m FROM messy)"""),
+    "judged_faults": chain(MESSY, HARSHER, """
+typed AS (
+  SELECT *,
+    CAST(price_given AS DECIMAL(10,2)) AS price, coalesce(CAST(discount_given AS DECIMAL(5,2)), 0) AS discount,
+    TRY_CAST(round(CAST(CAST(quantity AS DECIMAL(19,0)) * price_given AS DECIMAL(24,5))
+                   * CAST(CAST(100 AS DECIMAL(3,0)) - coalesce(discount_given, 0) AS DECIMAL(8,4))
+                   * CAST(0.01 AS DECIMAL(3,2)), 2) AS DECIMAL(12,2)) AS worth
+  FROM (
+    SELECT order_id, customer_id, src_seq, unit_price AS t_price, discount_pct AS t_discount, quantity AS t_quantity,
+      TRY_CAST(quantity AS INTEGER) AS quantity, TRY_CAST(unit_price AS DECIMAL(13,5)) AS price_given,
+      TRY_CAST(discount_pct AS DECIMAL(7,4)) AS discount_given,
+      """ + parsed_date("order_date") + """ AS order_date
+    FROM harsh)
+)""", """
+ruled AS (
+  SELECT *,
+    order_id IS NULL AS r1, customer_id IS NULL AS r2, coalesce(trim(t_price), '') = '' AS r3,
+    coalesce(trim(t_price), '') <> '' AND price IS NULL AS r4, coalesce(price_given <= 0, FALSE) AS r5,
+    coalesce(trim(t_quantity), '') = '' AS r6, coalesce(trim(t_quantity), '') <> '' AND quantity IS NULL AS r7,
+    coalesce(quantity = 0, FALSE) AS r8, quantity IS NOT NULL AND price IS NOT NULL AND worth IS NULL AS r9,
+    order_date IS NULL AS r10, coalesce(trim(t_discount), '') <> '' AND discount_given IS NULL AS r11,
+    coalesce(price_given > 0 AND price = 0, FALSE) AS r12,
+    coalesce(quantity > 0 AND price > 0 AND worth < 0, FALSE) AS r13
+  FROM typed
+)""", """
+SELECT order_id, src_seq, quantity, CAST(price AS DOUBLE) AS unit_price, CAST(discount AS DOUBLE) AS discount_pct,
+  CAST(worth AS DOUBLE) AS total_order_value,
+  CASE WHEN r1 OR r2 OR r3 OR r4 THEN 'rejected' WHEN quantity < 0 THEN 'return'
+       WHEN r5 OR r6 OR r7 OR r8 OR r9 THEN 'rejected' ELSE 'clean' END AS outcome,
+  concat_ws('|', CASE WHEN r1 THEN 'order_id_missing' END, CASE WHEN r2 THEN 'customer_id_missing' END,
+    CASE WHEN r3 THEN 'unit_price_missing' END, CASE WHEN r4 THEN 'unit_price_unreadable' END,
+    CASE WHEN r5 THEN 'unit_price_not_positive' END, CASE WHEN r6 THEN 'quantity_missing' END,
+    CASE WHEN r7 THEN 'quantity_unreadable' END, CASE WHEN r8 THEN 'quantity_zero' END,
+    CASE WHEN r9 THEN 'order_value_too_large' END, CASE WHEN r10 THEN 'order_date_unreadable' END,
+    CASE WHEN r11 THEN 'discount_unreadable' END, CASE WHEN r12 THEN 'unit_price_rounds_to_zero' END,
+    CASE WHEN r13 THEN 'order_value_negative' END) AS reasons
+FROM ruled"""),
+    "bronze_malformed": chain(MESSY, """
+SELECT CASE src_seq % 7
+    WHEN 1 THEN whole || ',more' WHEN 2 THEN short WHEN 3 THEN torn ELSE whole END AS line,
+  CASE src_seq % 7 WHEN 1 THEN 'too_many_values' WHEN 2 THEN 'too_few_values'
+    WHEN 3 THEN 'unbalanced_quotes' END AS malformed
+FROM (SELECT src_seq, coalesce(order_id, '') || ',' || product_id AS short,
+             coalesce(order_id, '') || ',"' || product_id || ',' || status AS torn,
+             coalesce(order_id, '') || ',' || product_id || ',' || status AS whole FROM messy)"""),
+    "dedup_across_deliveries": chain(MESSY, """
+SELECT order_id, product_id, quantity, unit_price, CAST(2 - month(ingestion_ts) % 3 AS INTEGER) AS delivery
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id
+    ORDER BY 2 - month(ingestion_ts) % 3, ingestion_ts, src_seq) AS rn
+  FROM messy WHERE order_id IS NOT NULL)
+WHERE rn = 1"""),
+    "dim_customer_intervals": on_clean(HELD_REGION, INTERVALS, """
+SELECT customer_id, store_region, CAST(valid_from AS VARCHAR) AS valid_from, CAST(valid_to AS VARCHAR) AS valid_to,
+  valid_to IS NULL AS is_current
+FROM spans"""),
+    "payment_intervals": on_clean(HELD_PAYMENT, PAYMENTS, """
+SELECT customer_id, payment_method, CAST(valid_from AS VARCHAR) AS valid_from, CAST(valid_to AS VARCHAR) AS valid_to,
+  valid_to IS NULL AS is_current
+FROM spans"""),
+    "revenue_by_region_then": on_clean(HELD_REGION, INTERVALS, f"""
+SELECT s.store_region, {REVENUE} FROM clean LEFT JOIN spans s ON {THEN} GROUP BY s.store_region"""),
+    "orders_with_payment_then": on_clean(HELD_PAYMENT, PAYMENTS, f"""
+SELECT order_id, clean.customer_id, CAST(order_date AS VARCHAR) AS order_date, s.payment_method
+FROM clean LEFT JOIN spans s ON {THEN}"""),
 }

@@ -164,6 +164,26 @@ def messy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def harsher(feed: DataFrame) -> DataFrame:
+    """The feed with the rarer faults put in as well: fractions of a cent, discounts
+    that cannot be read or exceed the price, values beyond any column."""
+    k = F.col("src_seq")
+
+    def put(column: str, *faults: tuple[int, str]) -> Column:
+        text = F.col(column)
+        for n, value in reversed(faults):
+            text = F.when(_every(k, n), F.lit(value)).otherwise(text)
+        return text
+
+    return feed.withColumns(
+        {
+            "discount_pct": put("discount_pct", (17, "ten"), (19, "150"), (23, "12.34567")),
+            "unit_price": put("unit_price", (29, "0.004"), (31, "19.98765"), (37, "99999999.99"), (47, " ")),
+            "quantity": put("quantity", (37, "2000000000"), (59, " ")),
+        }
+    )
+
+
 def batches(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two overlapping loads: up to August, and from July on."""
     month = F.month("ingestion_ts")

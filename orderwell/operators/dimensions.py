@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderwell.functions import date_key
+from orderwell.operators.validity import intervals
 from orderwell.schema import FACT_COLUMNS, UNKNOWN_REGION
 
 
@@ -53,6 +54,18 @@ def dim_product(silver: DataFrame) -> DataFrame:
     return one_row_per_key(named, "product_id", ["product_name", "category"], known)
 
 
+def customer_intervals(silver: DataFrame) -> DataFrame:
+    """Where each customer belonged, and when."""
+    known = F.col("store_region") != UNKNOWN_REGION
+    return intervals(silver, "customer_id", ["store_region"], known, dim_customer(silver))
+
+
+def product_intervals(silver: DataFrame) -> DataFrame:
+    """What each product was called and filed under, and when."""
+    known = F.col("category").isNotNull() & F.col("product_name").isNotNull()
+    return intervals(silver, "product_id", ["product_name", "category"], known, dim_product(silver))
+
+
 def dim_date(silver: DataFrame) -> DataFrame:
     """Calendar rows for the dates that occur; distinct first, then the parts."""
     day = F.col("full_date")

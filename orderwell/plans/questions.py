@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderwell.functions import half_up_mean
+from orderwell.operators.validity import attributes_as_of
 
 
 def _per_key(fact: DataFrame, key: str) -> DataFrame:
@@ -63,6 +64,16 @@ def revenue_by_region(fact: DataFrame, store: DataFrame) -> DataFrame:
     return _roll_up(joined, "store_region").orderBy(F.desc("revenue"), "store_region")
 
 
+def revenue_by_region_then(silver: DataFrame, customers: DataFrame) -> DataFrame:
+    """Revenue by the region that the buyer belonged to when they bought; ``customers``
+    are their intervals.  Added up per customer and day before the join."""
+    per_day = silver.groupBy("customer_id", "order_date").agg(
+        F.sum("total_order_value").alias("revenue"), F.count("order_id").alias("orders")
+    )
+    held = attributes_as_of(per_day, customers, "customer_id", ["store_region"])
+    return _roll_up(held, "store_region").orderBy(F.desc("revenue"), "store_region")
+
+
 def top_customers(fact: DataFrame, customer: DataFrame, n: int = 1) -> DataFrame:
     """The ``n`` customers who spent most, with their region."""
     return (
