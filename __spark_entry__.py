@@ -21,6 +21,7 @@ from orderwell.operators.summaries import monthly_summary  # noqa: E402
 from orderwell.plans import questions, silver, star  # noqa: E402
 from orderwell.plans.retail import (  # noqa: E402
     Layout,
+    rejudge,
     run,
     silver_as_of,
     silver_changes,
@@ -483,6 +484,28 @@ def revenue_by_region_then(spark: SparkSession, sf_dir: str) -> DataFrame:
     return questions.revenue_by_region_then(clean, dimensions.customer_intervals(clean))
 
 
+def stricter_rules(from_lines: bool = False) -> list[quality.Rule]:
+    """The usual rules, but none against orders of nothing and one against large ones."""
+    usual = [rule for rule in quality.order_rules(from_lines) if rule.reason != "quantity_zero"]
+    return [*usual, quality.Rule("quantity_above_40", "reject", F.col("quantity") > 40)]
+
+
+def rejudged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What other rules did to silver, without landing anything again."""
+    out = scratch_path(spark, "warehouse")
+    for number, path in enumerate(_deliveries(spark, sf_dir)):
+        run(spark, path, out, loaded_at=f"2024-04-0{number + 1} 06:00:00")
+    layout = rejudge(spark, out, quality.Ruleset(2, stricter_rules))
+    done = silver_changes(spark, layout).filter("version = 2")
+    return done.select(
+        "order_id",
+        "op",
+        F.col("before.quantity").alias("before_quantity"),
+        F.col("after.quantity").alias("after_quantity"),
+        F.col("after.total_order_value").alias("after_value"),
+    )
+
+
 def _payments(clean: DataFrame) -> DataFrame:
     known, paid = F.col("payment_method").isNotNull(), ["payment_method"]
     last = dimensions.one_row_per_key(clean, "customer_id", paid, known)
@@ -570,6 +593,7 @@ QUERIES: dict[str, Query] = {
     "dedup_across_deliveries": dedup_across_deliveries,
     "dim_customer_intervals": dim_customer_intervals,
     "revenue_by_region_then": revenue_by_region_then,
+    "rejudged_rows": rejudged_rows,
     "payment_intervals": payment_intervals,
     "orders_with_payment_then": orders_with_payment_then,
 }

@@ -656,6 +656,28 @@ WHERE rn = 1"""),
 SELECT customer_id, store_region, CAST(valid_from AS VARCHAR) AS valid_from, CAST(valid_to AS VARCHAR) AS valid_to,
   valid_to IS NULL AS is_current
 FROM spans"""),
+    "rejudged_rows": on_batches(MERGED, *[
+        f"""
+again{n} AS (
+  SELECT order_id, quantity,
+    CAST(round(quantity * unit_price * (100 - discount_pct) * CAST(0.01 AS DECIMAL(3,2)), 2) AS DECIMAL(12,2)) AS worth
+  FROM judged{n} WHERE order_id IS NOT NULL AND customer_id IS NOT NULL AND unit_price > 0
+    AND quantity >= 0 AND quantity <= 40
+)""" for n in (0, 1)
+    ], """
+renewed AS (
+  SELECT * FROM again1
+  UNION ALL SELECT * FROM again0 WHERE order_id NOT IN (SELECT order_id FROM again1)
+)""", """
+differing AS (
+  SELECT coalesce(m.order_id, r.order_id) AS order_id, m.quantity AS before_quantity, r.quantity AS after_quantity,
+    CAST(r.worth AS DOUBLE) AS after_value, m.version AS old_load,
+    CASE WHEN r.order_id IN (SELECT order_id FROM again1) THEN 1 ELSE 0 END AS new_load,
+    CASE WHEN m.order_id IS NULL THEN 'insert' WHEN r.order_id IS NULL THEN 'delete' ELSE 'update' END AS op
+  FROM merged m FULL JOIN renewed r ON m.order_id = r.order_id
+)""", """
+SELECT order_id, op, before_quantity, after_quantity, after_value FROM differing
+WHERE op <> 'update' OR old_load <> new_load"""),
     "payment_intervals": on_clean(HELD_PAYMENT, PAYMENTS, """
 SELECT customer_id, payment_method, CAST(valid_from AS VARCHAR) AS valid_from, CAST(valid_to AS VARCHAR) AS valid_to,
   valid_to IS NULL AS is_current

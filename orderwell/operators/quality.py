@@ -10,6 +10,7 @@ Rules come in three strengths, applied in this order:
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from typing import NamedTuple
 
@@ -79,16 +80,27 @@ def order_rules(from_lines: bool = False) -> list[Rule]:
     ]
 
 
+class Ruleset(NamedTuple):
+    """Rules under a number that rises with every change to them; what was judged keeps
+    it, so rows judged by older rules can be told."""
+
+    version: int
+    rules: Callable[[bool], list[Rule]]
+
+
+RULES = Ruleset(1, order_rules)
+
+
 def broken(rules: list[Rule], strength: str) -> Column:
     """True where any rule of the given strength is broken; never null."""
     tests = [F.coalesce(r.broken, F.lit(False)) for r in rules if r.strength == strength]
     return reduce(lambda a, b: a | b, tests)
 
 
-def assess(standardised: DataFrame) -> DataFrame:
+def assess(standardised: DataFrame, ruleset: Ruleset = RULES) -> DataFrame:
     """Adds ``outcome`` (clean, return or rejected) and ``reasons``; the text as
     landed stays, under ``raw``, only beside a reason."""
-    rules = order_rules("malformed" in standardised.columns)
+    rules = ruleset.rules("malformed" in standardised.columns)
     outcome = (
         F.when(broken(rules, "critical"), F.lit(REJECTED))
         .when(F.col("quantity") < 0, F.lit(RETURN))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from orderwell.functions import blank_to_null, mixed_date, order_value, title_case
 from orderwell.operators.dedup import first_arrival
-from orderwell.operators.quality import CLEAN, REJECTED, RETURN, assess
+from orderwell.operators.quality import CLEAN, REJECTED, RETURN, RULES, Ruleset, assess
 from orderwell.schema import (
     ARRIVAL,
     DISCOUNT_PCT,
@@ -102,19 +102,23 @@ def standardise(df: DataFrame, keep_payment: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def judged_rows(bronze: DataFrame, keep_payment: Sequence[str] = ()) -> DataFrame:
+def judged_rows(
+    bronze: DataFrame, keep_payment: Sequence[str] = (), ruleset: Ruleset = RULES
+) -> DataFrame:
     """Every landed row, standardised and judged; nothing is dropped yet."""
-    return bronze.transform(standardise, keep_payment).transform(assess)
+    return bronze.transform(standardise, keep_payment).transform(assess, ruleset)
 
 
-def assessed_orders(bronze: DataFrame, keep_payment: Sequence[str] = ()) -> DataFrame:
+def assessed_orders(
+    bronze: DataFrame, keep_payment: Sequence[str] = (), ruleset: Ruleset = RULES
+) -> DataFrame:
     """First arrivals with their outcome, without the keyless rows.
 
     Rows are judged before the shuffle and filtered after it.  An unusable first
     arrival still hides a usable retry, as it should, but what travels is typed
     columns and a verdict instead of the whole text, parsed once.
     """
-    return first_arrival(judged_rows(bronze, keep_payment), ["order_id"], ARRIVAL)
+    return first_arrival(judged_rows(bronze, keep_payment, ruleset), ["order_id"], ARRIVAL)
 
 
 def flag_keyed(bronze: DataFrame) -> DataFrame:
@@ -127,15 +131,17 @@ def flag_keyed(bronze: DataFrame) -> DataFrame:
     return bronze.withColumn("keyed", blank_to_null(F.col("order_id")).isNotNull())
 
 
-def assessed_all(bronze: DataFrame, keep_payment: Sequence[str] = ()) -> DataFrame:
+def assessed_all(
+    bronze: DataFrame, keep_payment: Sequence[str] = (), ruleset: Ruleset = RULES
+) -> DataFrame:
     """Every surviving row with its outcome: first arrivals, and the rows without
     an order number, which are never taken for copies of each other nor shuffled.
     """
     flagged = flag_keyed(bronze)
     keyed, keyless = flagged.filter("keyed"), flagged.filter("not keyed")
     return (
-        assessed_orders(keyed, keep_payment)
-        .unionByName(judged_rows(keyless, keep_payment))
+        assessed_orders(keyed, keep_payment, ruleset)
+        .unionByName(judged_rows(keyless, keep_payment, ruleset))
         .drop("keyed")
     )
 

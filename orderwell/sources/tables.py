@@ -165,7 +165,7 @@ def apply_changes(
     """
     spark, keys, partition_by = changes.sparkSession, list(keys), list(partition_by)
     done = applied(changes)
-    rows = done.select("after.*")
+    rows = done.filter(F.col("after").isNotNull()).select("after.*")
     if not table_exists(spark, path):
         write_table(rows, path, partition_by)
         return
@@ -173,7 +173,7 @@ def apply_changes(
     gaining = _partitions(rows, partition_by)
     images = done.filter(F.col("before").isNotNull()).select("before.*")
     losing = without(_partitions(images, partition_by), gaining, partition_by)
-    if not gaining:
+    if not gaining and not losing:
         return
     moved = done.select(*keys)
     stay = in_partitions(target, [*gaining, *losing], partition_by).join(moved, keys, "left_anti")
