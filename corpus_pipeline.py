@@ -18,14 +18,23 @@ from orderwell.sources.tables import stage
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is not rejected.  The model learns from the training
-    fold of what it is given."""
+    """Documents whose language is not rejected.
+
+    The model learns from the training fold of what it is given.  Texts that are null or
+    have no letter are rejected, others by their confidence; each row is judged by its
+    text alone, so repeated rows and rows without an id share their text's answer.
+    Where nothing is labelled there is no model to reject a document, and all stay.  An
+    empty table stays empty.
+    """
     ship(spark)
     model = language_id.train(docs.filter(~language_id.held_out()))
-    return language_id.drop_rejected(docs, model)
+    return docs if model is None else language_id.drop_rejected(docs, model)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of those with equal texts (A-Z as a-z; null as empty): that with the
+    largest doc_id, any of them where it is repeated; one without an id only if none has
+    one.  An empty table stays empty."""
     ship(spark)
     return exact_dedup.drop_copies(docs)
 
@@ -36,18 +45,30 @@ NEAR_PERCENT = near_dedup.PERCENT
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by similar shingles that with the smallest doc_id.
+
+    Null and empty texts have no shingles and stay.  A row without an id goes if a
+    document has its shingles; of an id's several texts only those go that are not kept.
+    An empty table stays empty.
+    """
     ship(spark)
     return near_dedup.drop_near_copies(docs, percent=NEAR_PERCENT)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them.
+
+    A null source is one of its own, last in order; texts without words weigh nothing
+    and are taken by their source's rate like others.  Repeated rows are taken one by
+    one, and draw alike.  An empty table stays empty.
+    """
     ship(spark)
     return mixing.mix(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of every document of the mix, copies included."""
+    """Token counts and digests of every document of the mix, copies included; a null
+    text is empty and has no tokens, ids may be null or repeated."""
     ship(spark)
     return pieces.digest(docs, public_tokenizers.path(PIECE_FILE))
 

@@ -178,3 +178,47 @@ def test_no_texts_and_no_training(spark, no_docs):
     only_held = [(i, "a b", None, None, 0) for i in range(300) if brute.remainder(i, 10) == 0]
     got = lm_scoring.score(spark.createDataFrame(only_held, DOCUMENT)).collect()
     assert {(r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got} == {(True, 3, 0, 0, 0.0)}
+
+
+def plain_language(model, text):
+    """Language and confidence by the model's tables, gram by gram."""
+    raw = (text or "").translate(brute.LOWER).encode()
+    blank = b" \t\n\v\f\r"
+    grams = Counter()
+    for n in language_id.GRAMS:
+        for i in range(len(raw) - n + 1):
+            gram = raw[i : i + n]
+            if any(b in blank for b in gram):
+                continue
+            h = n * 0x9E3779B1 % 2**32
+            for b in gram:
+                h = (h ^ b) * 0x01000193 % 2**32
+            h ^= 0x5BD1E995 if i == 0 or raw[i - 1] in blank else 0
+            h ^= 0x27D4EB2F if i + n == len(raw) or raw[i + n] in blank else 0
+            h = (h ^ h >> 15) * 0x2C1B3C6D % 2**32
+            grams[(h ^ h >> 13) % language_id.BUCKETS] += 1
+    if not any(c.isalpha() for c in text or ""):
+        return "und", 0.0, True
+    total = sum(grams.values())
+    mean = [sum(c * float(model.embeddings[g, d]) for g, c in grams.items()) / total for d in range(language_id.DIMENSIONS)]
+    logits = [
+        (sum(m * float(model.weights[d, k]) for d, m in enumerate(mean)) + float(model.bias[k])) / model.temperature
+        for k in range(len(model.languages))
+    ]
+    top = max(logits)
+    chances = [math.exp(x - top) for x in logits]
+    best = max(chances) / sum(chances)
+    return model.languages[logits.index(top)], best, best < model.threshold
+
+
+def test_predictions_match_brute_force(real, docs, model):
+    """Every text of both tables, long and odd ones too, scored in plain Python."""
+    for table in (docs, real.limit(60)):
+        texts = [r.text for r in table.select("text").collect()]
+        found = language_id.predict(table.withColumn("at", F.monotonically_increasing_id()), model, id_col="text").collect()
+        got = {r.text: (r.lang_pred, r.score, r.rejected) for r in found}
+        assert set(got) == set(texts)
+        for text in set(texts):
+            name, score, rejected = plain_language(model, text)
+            assert got[text][0] == name and got[text][1] == pytest.approx(score, abs=1e-9)
+            assert got[text][2] == rejected
