@@ -12,6 +12,7 @@ from collections import defaultdict
 from datetime import date, datetime
 from decimal import ROUND_HALF_UP, Decimal, InvalidOperation
 
+# The header line of an order feed.
 HEADER = (
     "order_id,customer_id,product_id,product_name,category,quantity,unit_price,"
     "discount_pct,order_date,store_region,payment_method,status"
