@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,24 +41,26 @@ from orderwell.sources.files import list_files  # noqa: E402
 from orderwell.sources.tables import merge_table, scratch_path, stage, stage_once  # noqa: E402
 from orderwell.streaming.arrivals import load_arrivals  # noqa: E402
 
+
+
+def _present(module: str) -> bool:
+    """Whether a module is there, without running it; an empty folder is none."""
+    spec = find_spec(module)
+    return spec is not None and spec.origin is not None
+
+
+# The library stands without the text operators; if they are there, they must import.
 TEXT_QUERIES, TEXT_ORACLE = {}, {}
-try:
-    import orderwell.llm as _text
-except ModuleNotFoundError as error:  # the library stands without the text operators
-    if error.name != "orderwell.llm":
-        raise
-else:
+if _present("orderwell.llm"):
     from orderwell.llm.oracle import ORACLE as TEXT_ORACLE
     from orderwell.llm.queries import QUERIES as TEXT_QUERIES
-try:
-    import corpus_pipeline as _pipeline
-except ModuleNotFoundError as error:
-    if error.name not in ("corpus_pipeline", "orderwell.llm"):
-        raise
-else:
-    TEXT_QUERIES = {**TEXT_QUERIES, "pipeline": _pipeline.run}
-    if _pipeline.ORACLE_SQL:
-        TEXT_ORACLE = {**TEXT_ORACLE, "pipeline": _pipeline.ORACLE_SQL}
+
+    if _present("corpus_pipeline"):
+        from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL
+        from corpus_pipeline import run as run_pipeline
+
+        TEXT_QUERIES = {**TEXT_QUERIES, "pipeline": run_pipeline}
+        TEXT_ORACLE = TEXT_ORACLE | ({"pipeline": PIPELINE_SQL} if PIPELINE_SQL else {})
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 LANDED_AT = "2024-04-01 06:00:00"
@@ -335,14 +338,20 @@ def deliver(rows: DataFrame, path: str) -> None:
     write_delivery(dealt.select(*[c for c in rows.columns if c not in [*audit, "keyed"]]), path)
 
 
+_DELIVERIES: dict[tuple[str, str], list[str]] = {}
+
+
 def _deliveries(spark: SparkSession, sf_dir: str) -> list[str]:
     """Two overlapping batches of the feed as folders of files, retries, rejects and
     rows without a number included."""
-    paths = []
-    for batch in batches(landed_feed(spark, sf_dir)):
-        paths.append(scratch_path(spark, "delivery"))
-        deliver(batch, paths[-1])
-    return paths
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _DELIVERIES:
+        paths = []
+        for batch in batches(landed_feed(spark, sf_dir)):
+            paths.append(scratch_path(spark, "delivery"))
+            deliver(batch, paths[-1])
+        _DELIVERIES[key] = paths
+    return _DELIVERIES[key]
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Layout:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from orderwell.operators.merge import applied, row_changes, upsert
+from orderwell.operators.merge import applied, row_changes
 from orderwell.schema import SILVER_PARTITIONS
 
 
@@ -108,28 +108,11 @@ def merge_table(
     whose date changed moves).  A partition that ends up empty is removed.
     Running the same merge again leaves the same table.
     """
-    spark = source.sparkSession
-    keys, partition_by = list(keys), list(partition_by)
-    if not table_exists(spark, path):
-        write_table(source, path, partition_by)
-        return
-
-    target = spark.read.schema(source.schema).parquet(path)
-    touched, emptied = _touched_partitions(target, source, keys, partition_by)
-    if not touched:
+    if not table_exists(source.sparkSession, path):
+        write_table(source, path, list(partition_by))
         return
-    merged = upsert(in_partitions(target, touched, partition_by), source, keys, newer_by)
-    if newer_by is None:
-        _overwrite_partitions(merged, path, partition_by)
-    else:
-        # Which rows win is known only after the merge, so partitions may empty
-        # that the counts above could not foresee.
-        merged = stage(merged, "merged")
-        _overwrite_partitions(merged, path, partition_by)
-        left = {_values(r, partition_by) for r in _partitions(merged, partition_by)}
-        emptied = [r for r in touched if _values(r, partition_by) not in left]
-    for row in emptied:
-        _remove_directory(spark, path, row, partition_by)
+    changes = stage(find_changes(source, path, keys, partition_by, newer_by), "changes")
+    apply_changes(changes, path, keys, partition_by)
 
 
 def find_changes(
@@ -213,30 +196,6 @@ def _values(row: Row, partition_by: Sequence[str]) -> tuple:
     return tuple(row[c] for c in partition_by)
 
 
-def _touched_partitions(
-    target: DataFrame, source: DataFrame, keys: list[str], partition_by: list[str]
-) -> tuple[list[Row], list[Row]]:
-    """Partitions to rewrite, and those among them that lose every row.
-
-    Reads only the key column of the target and counts per partition, so one row
-    per partition comes back.
-    """
-    incoming = source.select(*keys).withColumn("_incoming", F.lit(1))
-    affected = (
-        target.select(*keys, *partition_by)
-        .join(incoming, keys, "left")
-        .groupBy(*partition_by)
-        .agg(F.count("*").alias("_held"), F.count("_incoming").alias("_replaced"))
-        .filter(F.col("_replaced") > 0)
-        .collect()
-    )
-    gaining = _partitions(source, partition_by)
-    gained = {_values(row, partition_by) for row in gaining}
-    losing = [row for row in affected if _values(row, partition_by) not in gained]
-    emptied = [row for row in losing if row["_held"] == row["_replaced"]]
-    return [*gaining, *losing], emptied
-
-
 def in_partitions(df: DataFrame, rows: list[Row], partition_by: list[str]) -> DataFrame:
     """``df`` limited to the given partitions, pruned at planning time.
 
