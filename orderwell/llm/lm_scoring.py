@@ -138,14 +138,14 @@ def _to_symbols(frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text"):
             hashes, counts = word_hashes(*as_arrays(batch.column("text")))
-            if len(frequent):
-                place = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
-                known = frequent[place] == hashes
-            else:
-                place, known = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-            symbols = np.where(known, place, rare_symbol)
+            symbols, known = np.full(len(hashes), rare_symbol, "<u2"), np.zeros(len(hashes), bool)
+            for a in range(0, len(hashes) if len(frequent) else 0, BLOCK_TOKENS):
+                part = hashes[a : a + BLOCK_TOKENS]
+                place = np.minimum(np.searchsorted(frequent, part), len(frequent) - 1)
+                known[a : a + BLOCK_TOKENS] = here = frequent[place] == part
+                symbols[a : a + BLOCK_TOKENS][here] = place[here]
             ends = np.cumsum(counts)
-            symbols = np.insert(symbols, ends, end_symbol).astype("<u2")
+            symbols = np.insert(symbols, ends, end_symbol)
             bounds = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]).tolist()
             rare = np.flatnonzero(~known)
             cuts = np.searchsorted(rare, np.concatenate([[0], ends]))
@@ -212,13 +212,16 @@ class Ragged:
         self.symbols[self.at[step] + np.repeat(np.arange(len(lengths)), lengths)] = flat
 
 
-def forward(model: Markov, ragged: Ragged, kind=np.float64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Scaled state probabilities and scales of every step, and the emissions read."""
+def forward(
+    model: Markov, ragged: Ragged, kind=np.float64, before: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Scaled state probabilities and scales of every step, and the emissions read.
+    ``before`` has those of the step before the first, where there is one."""
     emitted = model.emits.astype(kind)[ragged.symbols]
     states = np.empty_like(emitted)
     scales = np.empty(len(emitted), dtype=kind)
     moves = model.moves.astype(kind)
-    now = model.start.astype(kind) * emitted[: ragged.running[0]]
+    now = (model.start.astype(kind) if before is None else before @ moves) * emitted[: ragged.running[0]]
     at = ragged.at.tolist()
     for t, n in enumerate(ragged.running.tolist()):
         here = slice(at[t], at[t + 1])
@@ -232,28 +235,74 @@ def forward(model: Markov, ragged: Ragged, kind=np.float64) -> tuple[np.ndarray,
     return states, scales, emitted
 
 
+def pieces_of(sequence: np.ndarray) -> list[np.ndarray]:
+    """A sequence in runs of ``BLOCK_TOKENS``, so that a long one takes bounded memory."""
+    return [sequence[a : a + BLOCK_TOKENS] for a in range(0, len(sequence), BLOCK_TOKENS)]
+
+
+def total(table: np.ndarray, sequence: np.ndarray) -> float:
+    """The sum of a table's values for the symbols of a sequence."""
+    return float(sum(table[piece].sum() for piece in pieces_of(sequence)))
+
+
 def log10_likelihoods(model: Markov, sequences: list[np.ndarray]) -> np.ndarray:
-    """Exact log10 probability of each (non-empty) sequence."""
-    ragged = Ragged(sequences)
+    """Exact log10 probability of each (non-empty) sequence; long ones go piece by piece
+    with the states that the piece before ended in."""
+    result = np.empty(len(sequences))
+    long = [i for i, s in enumerate(sequences) if len(s) > BLOCK_TOKENS]
+    for i in long:
+        before, result[i] = None, 0.0
+        for piece in pieces_of(sequences[i]):
+            states, scales, _ = forward(model, Ragged([piece]), before=before)
+            before = states[-1:].copy()
+            result[i] += np.log10(scales).sum()
+    short = [i for i in range(len(sequences)) if i not in set(long)] if long else list(range(len(sequences)))
+    if not short:
+        return result
+    ragged = Ragged([sequences[i] for i in short])
     _, scales, _ = forward(model, ragged)
-    sums = np.zeros(len(sequences))
+    sums = np.zeros(len(short))
     logs = np.log10(scales)
     at = ragged.at.tolist()
     for t, n in enumerate(ragged.running.tolist()):
         sums[:n] += logs[at[t] : at[t + 1]]
-    result = np.empty(len(sequences))
-    result[ragged.order] = sums
+    result[np.array(short)[ragged.order]] = sums
     return result
 
 
 def expected_counts(model: Markov, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected starts, moves and emissions of the sequences (Baum-Welch)."""
-    ragged = Ragged(sequences)
-    states, scales, emitted = forward(model, ragged, np.float32)
+    """Expected starts, moves and emissions of the sequences (Baum-Welch).
+
+    A long sequence keeps the states at the ends of its pieces from a first run
+    forward, and runs forward again inside each piece on its way back.
+    """
+    short = [s for s in sequences if len(s) <= BLOCK_TOKENS]
+    parts = [_expected(model, Ragged(short))[0]] if short else []
+    for sequence in (s for s in sequences if len(s) > BLOCK_TOKENS):
+        cut, befores = pieces_of(sequence), [None]
+        for piece in cut[:-1]:
+            states, _, _ = forward(model, Ragged([piece]), np.float32, befores[-1])
+            befores.append(states[-1:].copy())
+        ahead = None
+        for piece, before in zip(cut[::-1], befores[::-1]):
+            found, ahead = _expected(model, Ragged([piece]), before, ahead)
+            parts.append(found)
+    return tuple(sum(values) for values in zip(*parts))
+
+
+def _expected(
+    model: Markov, ragged: Ragged, before: np.ndarray | None = None, beyond: np.ndarray | None = None
+) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
+    """The counts, and what the first step is worth to the one before it; ``beyond`` is
+    what the step after the last is worth, where there is one."""
+    states, scales, emitted = forward(model, ragged, np.float32, before)
     moves = model.moves.astype(np.float32)
     back, at, running = moves.T.copy(), ragged.at.tolist(), ragged.running.tolist()
     passed = np.zeros((len(moves), len(moves)))
     after = np.ones((running[-1], len(moves)), np.float32)
+    if beyond is not None:
+        passed += states[-1:].T @ beyond
+        after = beyond @ back
     emitted /= scales[:, None]
     for t in range(len(running) - 1, -1, -1):
         here = slice(at[t], at[t + 1])
@@ -264,11 +313,12 @@ def expected_counts(model: Markov, sequences: list[np.ndarray]) -> tuple[np.ndar
             after = np.ones((running[t], len(moves)), np.float32)
             after[:n] = ahead @ back
         states[here] *= after  # forward times backward: the step is done with
-    starts = states[: running[0]].sum(axis=0, dtype=np.float64)
+    first = states[: running[0]].sum(axis=0, dtype=np.float64)
+    starts = first if before is None else np.zeros(len(moves))
     emissions = np.stack(
         [np.bincount(ragged.symbols, states[:, k], len(model.emits)) for k in range(len(moves))], axis=1
     )
-    return starts, passed * model.moves, emissions
+    return (starts, passed * model.moves, emissions), emitted[: at[1]] * after
 
 
 def _length_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], list[tuple]]]:
@@ -379,8 +429,8 @@ def _score(model_of, log_shares: np.ndarray, known: np.ndarray):
         model = model_of.value
         for sequences, rows in _length_blocks(batches):
             likelihoods = log10_likelihoods(model, sequences)
-            base = [float(shares[s].sum()) for s in sequences]
-            seen = [int(known[s].sum()) for s in sequences]
+            base = [total(shares, s) for s in sequences]
+            seen = [int(total(known, s)) for s in sequences]
             columns = list(zip(*rows))
             yield pa.RecordBatch.from_arrays(
                 [

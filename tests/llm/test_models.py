@@ -1,5 +1,6 @@
 import itertools
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -95,14 +96,19 @@ def paths(model, sequence):
         yield path, p
 
 
-def test_likelihoods_equal_the_sum_over_paths():
+@pytest.mark.parametrize("block", [lm_scoring.BLOCK_TOKENS, 4, 2, 1])
+def test_likelihoods_equal_the_sum_over_paths(monkeypatch, block):
+    """Sequences as a whole, and longer than a block."""
+    monkeypatch.setattr(lm_scoring, "BLOCK_TOKENS", block)
     model = small_model()
     got = lm_scoring.log10_likelihoods(model, SEQUENCES)
     expected = [math.log10(sum(p for _, p in paths(model, s))) for s in SEQUENCES]
     assert got == pytest.approx(expected)
 
 
-def test_expected_counts_equal_the_sum_over_paths():
+@pytest.mark.parametrize("block", [lm_scoring.BLOCK_TOKENS, 4, 2, 1])
+def test_expected_counts_equal_the_sum_over_paths(monkeypatch, block):
+    monkeypatch.setattr(lm_scoring, "BLOCK_TOKENS", block)
     model = small_model()
     starts, moves, emits = (np.zeros(s) for s in ((3,), (3, 3), (5, 3)))
     for sequence in SEQUENCES:
@@ -119,6 +125,21 @@ def test_expected_counts_equal_the_sum_over_paths():
         assert ours == pytest.approx(theirs, abs=1e-4)
 
 
+def test_a_long_sequence_takes_bounded_memory(monkeypatch):
+    sequence = np.random.default_rng(4).integers(0, 5, 120_000).astype("<u2")
+    model = small_model(8)
+    whole = lm_scoring.log10_likelihoods(model, [sequence])[0], lm_scoring.expected_counts(model, [sequence])
+    monkeypatch.setattr(lm_scoring, "BLOCK_TOKENS", 5_000)
+    tracemalloc.start()
+    cut = lm_scoring.log10_likelihoods(model, [sequence])[0], lm_scoring.expected_counts(model, [sequence])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120_000 * 8 * 8 / 3  # the states of all steps alone take three times that
+    assert cut[0] == pytest.approx(whole[0], rel=1e-12)
+    for ours, theirs in zip(cut[1], whole[1]):
+        assert ours == pytest.approx(theirs, rel=1e-3, abs=1e-2)
+
+
 def test_passes_raise_the_likelihood(spark):
     rng = np.random.default_rng(0)
     texts = [rng.integers(0, 6, 40) + 6 * (i % 2) for i in range(40)]
