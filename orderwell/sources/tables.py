@@ -121,13 +121,18 @@ def find_changes(
     keys: Sequence[str] = ("order_id",),
     partition_by: Sequence[str] = SILVER_PARTITIONS,
     newer_by: str | None = None,
+    within: list[Row] | None = None,
 ) -> DataFrame:
     """``row_changes`` of merging ``source`` into the table at ``path``, which need not be
-    there yet.  Only partitions that hold one of the keys are read beyond their keys."""
+    there yet.  Only partitions that hold one of the keys are read beyond their keys, and
+    of the others no more than the keys; none at all of those outside ``within``, if it
+    is known where the keys can be (see ``places_of``)."""
     spark, keys, partition_by = source.sparkSession, list(keys), list(partition_by)
-    if not table_exists(spark, path):
+    if not table_exists(spark, path) or within == []:
         return row_changes(spark.createDataFrame([], source.schema), source, keys, newer_by)
     target = spark.read.schema(source.schema).parquet(path)
+    if within is not None:
+        target = in_partitions(target, within, partition_by)
     incoming = source.select(*keys)
     holding = target.select(*keys, *partition_by).join(incoming, keys, "left_semi")
     places = _partitions(holding, partition_by)
@@ -135,6 +140,30 @@ def find_changes(
     return row_changes(old.join(incoming, keys, "left_semi"), source, keys, newer_by)
 
 
+def widened(
+    ranges: DataFrame, rows: DataFrame, key: str, partition_by: Sequence[str] = SILVER_PARTITIONS
+) -> DataFrame:
+    """``low`` and ``high`` key per partition once ``rows`` have been put in.  Rows that
+    left leave their range as it was: it only has to cover the keys there are."""
+    new = rows.select(*partition_by, F.col(key).alias("low"), F.col(key).alias("high"))
+    both = ranges.select(*partition_by, "low", "high").unionByName(new)
+    return both.groupBy(*partition_by).agg(F.min("low").alias("low"), F.max("high").alias("high"))
+
+
+def places_of(
+    rows: DataFrame, ranges: DataFrame, key: str, partition_by: Sequence[str] = SILVER_PARTITIONS
+) -> list[Row]:
+    """Partitions whose range holds one of the rows' keys, from one pass over the keys.
+    ``ranges`` has as many rows as the table has partitions."""
+    known, found = ranges.select(*partition_by, "low", "high").collect(), []
+    for first in range(0, len(known), 200):
+        part = known[first : first + 200]
+        tests = [F.coalesce(F.bool_or(F.col(key).between(r.low, r.high)), F.lit(False)) for r in part]
+        hits = rows.agg(*[test.alias(f"p{i}") for i, test in enumerate(tests)]).first()
+        found += [r for r, hit in zip(part, hits) if hit]
+    return found
+
+
 def apply_changes(
     changes: DataFrame,
     path: str,
