@@ -1,5 +1,6 @@
 """What one task holds stays bounded however large the input is."""
 
+import __spark_entry__ as entry
 import pytest
 from orderwell.sources import tables
 from orderwell.sources.tables import scratch_path, small_tasks, stage
@@ -13,6 +14,23 @@ SETTINGS = (
 )
 
 
+def made_feed(spark, n, parts=1):
+    """Rows as ``messy_orders`` has them, from a join; every 97th without a number."""
+    number = F.col("id")
+    rows = spark.range(0, n, 1, parts).join(spark.range(n).withColumnRenamed("id", "other"), number == F.col("other"))
+    texts = {name: F.concat(F.lit(f"{name}-"), number) for name in entry.ORDER_COLUMNS}
+    texts["order_id"] = F.when(number % 97 != 0, F.concat(F.lit("O-"), number % (n // 2)))
+    return rows.select(
+        *[text.alias(name) for name, text in texts.items()],
+        F.expr("timestamp_ntz'2024-01-15 00:00:00' + make_interval(0, cast(id % 12 as int))").alias("ingestion_ts"),
+        number.alias("src_seq"),
+    )
+
+
+def tasks_of_write(df):
+    return len(stage(df, "written").inputFiles())
+
+
 def test_stored_tables_are_written_by_tasks_of_bounded_size(spark, monkeypatch):
     path = scratch_path(spark, "large")
     rows = spark.range(0, 200_000, 1, 60).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
@@ -39,3 +57,28 @@ def test_settings_are_put_back_and_smaller_ones_hold(spark):
         assert spark.conf.get(SETTINGS[2], None) == before[2]
     finally:
         spark.conf.unset(SETTINGS[0])
+
+
+def test_malformed_lines_are_written_where_they_lie(spark, monkeypatch):
+    feed = made_feed(spark, 3_000).repartition(9)
+    monkeypatch.setattr(entry, "messy_orders", lambda *_: feed)
+    read, files = entry.read_orders, []
+
+    def reader(spark, path, *more):
+        rows = read(spark, path, *more)
+        files.extend(rows.inputFiles())
+        return rows
+
+    monkeypatch.setattr(entry, "read_orders", reader)
+    found = sorted(tuple(row) for row in entry.bronze_malformed(spark, "").collect())
+
+    def line(i):
+        number, product, status = f"O-{i % 1500}" if i % 97 else "", f"product_id-{i}", f"status-{i}"
+        return {
+            1: (f"{number},{product},{status},more", "too_many_values"),
+            2: (f"{number},{product}", "too_few_values"),
+            3: (f'{number},"{product},{status}', "unbalanced_quotes"),
+        }.get(i % 7, (f"{number},{product},{status}", None))
+
+    assert sorted(found, key=str) == sorted(map(line, range(3_000)), key=str)
+    assert len(files) > 4
