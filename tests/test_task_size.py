@@ -82,3 +82,13 @@ def test_malformed_lines_are_written_where_they_lie(spark, monkeypatch):
 
     assert sorted(found, key=str) == sorted(map(line, range(3_000)), key=str)
     assert len(files) > 4
+
+
+def test_key_report_stores_of_the_first_load_what_dimensions_are_made_of(spark, monkeypatch):
+    feed, kept = entry.silver.flag_keyed(made_feed(spark, 500)), []
+    monkeypatch.setattr(entry, "landed_feed", lambda *_: feed)
+    monkeypatch.setattr(entry, "stored_silver", lambda *_: entry.silver.clean_orders(feed))
+    monkeypatch.setattr(entry, "stage", lambda df, name: kept.append(df.columns) or df)
+    report = entry.fk_report(spark, "/root/testdata/sf0.001")
+    assert kept == [entry.DIMENSION_COLUMNS]
+    assert report.columns == ["dimension", "key_value", "fact_rows"]
