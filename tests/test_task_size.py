@@ -92,3 +92,14 @@ def test_key_report_stores_of_the_first_load_what_dimensions_are_made_of(spark,
     report = entry.fk_report(spark, "/root/testdata/sf0.001")
     assert kept == [entry.DIMENSION_COLUMNS]
     assert report.columns == ["dimension", "key_value", "fact_rows"]
+
+
+def 
+
+def test_tables_as_of_a_load_are_stored_by_bounded_tasks(spark, monkeypatch):
+    monkeypatch.setattr(entry, "landed_feed", lambda *_: entry.silver.flag_keyed(made_feed(spark, 500)))
+    stored = entry._as_of(1)(spark, "")
+    assert all("/as-of-" in file for file in stored.inputFiles())
+    first, second = entry._changes(entry.landed_feed(spark, ""))
+    rows = entry.merge.as_of(first.unionByName(second), 1).select(*entry.CHANGE_COLUMNS)
+    assert sorted(map(tuple, stored.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
