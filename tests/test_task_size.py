@@ -103,3 +103,13 @@ def test_tables_as_of_a_load_are_stored_by_bounded_tasks(spark, monkeypatch):
     first, second = entry._changes(entry.landed_feed(spark, ""))
     rows = entry.merge.as_of(first.unionByName(second), 1).select(*entry.CHANGE_COLUMNS)
     assert sorted(map(tuple, stored.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
+
+
+def test_deliveries_are_compressed_and_read_back_whole(spark):
+    rows = made_feed(spark, 3_000)
+    path = scratch_path(spark, "delivery")
+    entry.deliver(rows, path)
+    read = entry.read_orders(spark, path, entry.LANDED_AT)
+    assert all(file.endswith(".csv.gz") for file in read.inputFiles())
+    found = sorted(map(tuple, read.select(*entry.ORDER_COLUMNS).collect()), key=str)
+    assert found == sorted(map(tuple, rows.select(*entry.ORDER_COLUMNS).collect()), key=str)
