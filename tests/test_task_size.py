@@ -94,8 +94,6 @@ def test_key_report_stores_of_the_first_load_what_dimensions_are_made_of(spark,
     assert report.columns == ["dimension", "key_value", "fact_rows"]
 
 
-def 
-
 def test_tables_as_of_a_load_are_stored_by_bounded_tasks(spark, monkeypatch):
     monkeypatch.setattr(entry, "landed_feed", lambda *_: entry.silver.flag_keyed(made_feed(spark, 500)))
     stored = entry._as_of(1)(spark, "")
