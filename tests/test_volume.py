@@ -12,7 +12,7 @@ from orderwell.plans import retail
 from orderwell.plans.retail import run, silver_changes
 from orderwell.schema import ORDER_COLUMNS
 from orderwell.sources import tables
-from orderwell.sources.tables import find_changes, scratch_path, stage, stage_once, write_table
+from orderwell.sources.tables import find_changes, scratch_path, small_tasks, stage, write_table
 from pyspark.sql import functions as F
 
 def made_tables(spark, path):
@@ -136,6 +136,13 @@ def test_counters_are_added_up_once_and_emptied_months_go(spark, tmp_path, monke
 def test_stored_tables_are_packed(spark):
     path = scratch_path(spark, "packed")
     write_table(spark.range(5), path)
-    shared = stage_once(spark, path, lambda: spark.range(5))
-    files = [*shared.inputFiles(), *spark.read.parquet(path).inputFiles()]
+    files = spark.read.parquet(path).inputFiles()
     assert files and all(".zstd." in name for name in files)
+
+
+def test_tasks_are_smaller_where_rows_take_less_room(spark):
+    with small_tasks(spark, files=2, shuffles=4):
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == f"{tables.TASK_BYTES // 2}b"
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == f"{tables.TASK_BYTES // 4}b"
+        pieces = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+        assert int(pieces) >= 4 * tables.SHUFFLE_PIECES
