@@ -237,9 +237,11 @@ def shards(classes: DataFrame, shard_rows: int = SHARD_ROWS, overlap: int = OVER
             )
             stuck = stage(grown.filter("2 * held > parent_held").select("shard", "held"), "stuck-shards")
             rest = stage(large.join(stuck, "shard", "left_anti"), "large-shards")
-            members = _at_random(members.join(stuck, "shard"), shard_rows).unionByName(
-                _recut(members, rest, shard_rows, near)
-            )
+            at_random = _at_random(members.join(stuck, "shard"), shard_rows)
+            if rest.isEmpty():  # centres have halved none of them
+                members = at_random
+            else:
+                members = at_random.unionByName(_recut(members, rest, shard_rows, near))
         before, level = large, level + 1
 
 

@@ -114,6 +114,18 @@ def test_no_shard_is_above_its_bound(spark, monkeypatch, few):
     assert (dealt[dealt["rank"] == 0].groupby("class").size() == 1).all()
 
 
+def test_centres_part_no_large_shard(spark):
+    rng = np.random.default_rng(6)
+    units = rng.normal(size=(120, 8))
+    units[:100] = units[0] + 1e-9 * units[:100]
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    rows = [(i, 1, u.tolist()) for i, u in enumerate(units)]
+    classes = spark.createDataFrame(rows, "class long, copies long, unit array<double>").repartition(4)
+    dealt = vector_dedup.shards(classes, 20, 4).toPandas()
+    assert dealt.groupby("shard").size().max() <= 2 * 20
+    assert sorted(dealt[dealt["rank"] == 0]["class"]) == list(range(120))
+
+
 def test_dense_group_over_many_shards(spark):
     rng = np.random.default_rng(9)
     centre = rng.normal(size=32)
