@@ -158,6 +158,30 @@ def test_broadcasts_only_what_is_small(spark, monkeypatch):
     assert by_row(got, "page_id", "url", "text", "n_chars") == expected(pages())
 
 
+def test_rare_layouts_of_a_host_have_their_template_taken_away(spark):
+    """Pages of every layout count, however many pages of another there are."""
+    layout = "<section class={0}><h2>Top of {0}</h2><p>Words {1} of {0}.</p></section>"
+    rows = [(i, f"http://many.example.org/{i}", layout.format("usual", i)) for i in range(200)]
+    rows += [(500 + i, f"http://many.example.org/{i}", layout.format("abcdefgh"[i % 8], i)) for i in range(40)]
+    got = page_text.extract(spark.createDataFrame(rows, PAGE).repartition(4))
+    want = {i: f"Words {i} of usual." for i in range(200)}
+    want |= {500 + i: f"Words {i} of {'abcdefgh'[i % 8]}." for i in range(40)}
+    assert {r.page_id: r.text for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("united", [32, 2])
+def test_a_wrapper_is_made_of_all_pages_without_nodes_of_their_own(spark, monkeypatch, united):
+    """Trees united in many rounds; names that stand on too few pages are in no wrapper."""
+    monkeypatch.setattr(page_text, "UNITED", united)
+    letters = "abcdefghijklmnopqrstuvwxy"
+    rows = [("h", f"<div class=k{x}><p>t</div><h2 id={y}{x}>own</h2>") for x in letters for y in "rstu"]
+    rows += [("h", "<div class=kz><p>t</div>")] * 3 + [("few", "<p>x")] * 3 + [("none", None)] * 5
+    made = page_text.wrappers(spark.createDataFrame(rows, "host string, html string").repartition(3)).collect()
+    assert [row.host for row in made] == ["h"]
+    signs = [kid[0] for kid in page_text.json.loads(made[0].wrapper)[1]]
+    assert sorted(signs) == sorted(f"div.k{x}" for x in letters)
+
+
 def test_no_pages(spark):
     assert page_text.extract(spark.createDataFrame([], PAGE)).count() == 0
 
