@@ -1,5 +1,8 @@
 """What one task holds stays bounded however large the input is."""
 
+import re
+import time
+
 import __spark_entry__ as entry
 import pytest
 from orderwell.sources import tables
@@ -94,6 +97,27 @@ def test_key_report_stores_of_the_first_load_what_dimensions_are_made_of(spark,
     assert report.columns == ["dimension", "key_value", "fact_rows"]
 
 
+def test_shuffles_of_a_stored_table_are_removed(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", files.getAllFiles().mkString(" ")))
+
+    before = shuffles()
+    rows = spark.range(100_000).withColumn("rn", F.row_number().over(Window.partitionBy(F.col("id") % 97).orderBy("id")))
+    stored = stage(rows, "written")
+    for _ in range(50):
+        left = shuffles() - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+    assert stored.count() == 100_000
+    rows.collect()
+    assert shuffles() - before  # what is not stored keeps its own
+    assert spark.conf.get(tables.DROP_SHUFFLES) == "false"
+
+
 def test_tables_as_of_a_load_are_stored_by_bounded_tasks(spark, monkeypatch):
     monkeypatch.setattr(entry, "landed_feed", lambda *_: entry.silver.flag_keyed(made_feed(spark, 500)))
     stored = entry._as_of(1)(spark, "")
