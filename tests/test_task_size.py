@@ -97,6 +97,20 @@ def test_key_report_stores_of_the_first_load_what_dimensions_are_made_of(spark,
     assert report.columns == ["dimension", "key_value", "fact_rows"]
 
 
+def test_key_report_stores_of_the_sales_only_their_keys(spark, monkeypatch):
+    sold = made_feed(spark, 500).withColumns({"quantity": F.lit("2"), "unit_price": F.lit("3.50")})
+    feed, kept = entry.silver.flag_keyed(sold), []
+    monkeypatch.setattr(entry, "landed_feed", lambda *_: feed)
+    monkeypatch.setattr(entry, "stage", lambda df, _: df)
+    monkeypatch.setattr(entry, "stage_once", lambda spark, name, build, by=(): kept.append(build().columns) or build())
+    report = entry.fk_report(spark, "/root/testdata/sf0.001")
+    assert kept == [list(entry.star.KEYS.values())]
+    clean = entry.silver.clean_orders(feed)
+    late = clean.filter(F.month("ingestion_ts") > 8).count()
+    found = {r.dimension: r.n for r in report.groupBy("dimension").agg(F.sum("fact_rows").alias("n")).collect()}
+    assert late and found["dim_customer"] == found["dim_product"] == late
+
+
 def test_shuffles_of_a_stored_table_are_removed(spark):
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
